@@ -32,6 +32,12 @@ def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weftline.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weftline.llm.sentencepiece_codec import encode_digests
 
@@ -61,7 +67,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_shards, op7_sentencepiece, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_shards, op5_near_duplicates, op7_sentencepiece, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:

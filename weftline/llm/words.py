@@ -28,7 +28,7 @@ PUNCTUATION = _table([b for b in range(128) if not chr(b).isalnum()])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-_powers = np.ones(64, np.uint64)
+_powers = np.ones(1, np.uint64)
 
 
 def _pow(n: int) -> np.ndarray:
