@@ -32,6 +32,12 @@ def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weftline.llm.secrets import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weftline.llm.near_dedup import near_duplicates
 
@@ -67,7 +73,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_shards, op5_near_duplicates, op7_sentencepiece, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op5_near_duplicates, op7_sentencepiece, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
