@@ -50,6 +50,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weftline.llm.language_id import identify, learn
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, learn(docs)).drop("spans")
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weftline.llm.topk import top_k
 
@@ -73,7 +80,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op5_near_duplicates, op7_sentencepiece, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op5_near_duplicates, op7_sentencepiece, op8_language, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -52,9 +52,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of one block: ``hashes``, ``doc`` (index of the text of each), ``chars`` and ``starts`` into them."""
+    """The words of one block.
 
-    __slots__ = ("hashes", "doc", "chars", "starts", "lens", "sep", "raw")
+    ``hashes``; ``doc``, the index of each word's text; ``chars``, the words' lower-cased bytes, with ``starts`` and
+    ``lens`` into them; ``raw``, the block's bytes, with ``at``, where words begin; parts of the texts ``docs`` begin at ``bounds``.
+    """
+
+    __slots__ = ("hashes", "doc", "chars", "starts", "lens", "sep", "raw", "at", "bounds", "docs")
 
     def __init__(self, raw: np.ndarray, bounds: np.ndarray, docs: np.ndarray, separators: np.ndarray):
         sep = separators[raw]
@@ -63,7 +67,7 @@ class Words:
         first[1:] &= sep[:-1]
         at = np.flatnonzero(first)
         low = _LOWER[raw]
-        self.raw, self.sep = raw, sep
+        self.raw, self.sep, self.at, self.bounds, self.docs = raw, sep, at, bounds, docs
         self.chars = low[inside]
         before = np.cumsum(inside)
         self.starts = before[at] - 1
