@@ -38,6 +38,13 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weftline.llm.toxicity import learn, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weftline.llm.near_dedup import near_duplicates
 
@@ -80,7 +87,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op5_near_duplicates, op7_sentencepiece, op8_language, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op4_toxicity, op5_near_duplicates, op7_sentencepiece, op8_language, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
