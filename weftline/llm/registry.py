@@ -51,6 +51,14 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 85)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weftline.llm.decontamination import check
+
+    rows = check(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.transform("items", lambda x: x["item"].cast("string")), ",")
+    return rows.select("doc_id", "contaminated", F.size("items").cast("long").alias("n_items"), ids.alias("item_ids"), F.array_max(F.transform("items", lambda x: x["share"])).alias("best_share"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weftline.llm.sentencepiece_codec import encode_digests
 
@@ -87,7 +95,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op4_toxicity, op5_near_duplicates, op7_sentencepiece, op8_language, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op4_toxicity, op5_near_duplicates, op6_decontamination, op7_sentencepiece, op8_language, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:

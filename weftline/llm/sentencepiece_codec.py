@@ -110,6 +110,7 @@ def encode_digests(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_
 
 def decode(rows: DataFrame, model: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """The id and the text of every row's ids, by the library; null ids give an empty text."""
+    small_batches(rows.sparkSession)
     out = T.StructType([rows.schema[id_col], T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
