@@ -72,6 +72,13 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, learn(docs)).drop("spans")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weftline.llm.pii import digests, learn
+
+    docs = table(spark, sf_dir, "documents")
+    return digests(docs, learn(docs))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weftline.llm.topk import top_k
 
@@ -95,7 +102,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op4_toxicity, op5_near_duplicates, op6_decontamination, op7_sentencepiece, op8_language, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_shards, op3_secrets, op4_toxicity, op5_near_duplicates, op6_decontamination, op7_sentencepiece, op8_language, op9_personal_data, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
