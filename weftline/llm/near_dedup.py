@@ -260,3 +260,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, *, id_co
     out = tagged.join(least.withColumnRenamed("own", "k"), F.col("own") == F.col("k"), "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+
+
+def deduplicate(docs: DataFrame, percent: int = 80, words: int = 5, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component: that of its least (id, text hash); identical rows become one."""
+    # A row is named by its id and text, so that repeated or null ids with other texts aren't mistaken for it.
+    named = docs.select(F.struct(F.col(id_col).alias("a"), F.xxhash64(text_col).alias("b")).alias("name"), F.col(text_col).alias("text"))
+    kept = settle(near_duplicates(named, percent, words, id_col="name", text_col="text").where("kept").groupBy("name").agg(F.count(F.lit(1)).alias("times")), "kept")
+    both = docs.join(kept.select(F.col("name.a").alias("kept id"), F.col("name.b").alias("kept text")).hint("merge"), F.col(id_col).eqNullSafe(F.col("kept id")) & (F.xxhash64(text_col) == F.col("kept text")), "left_semi")
+    return both if kept.where("times > 1").isEmpty() else both.dropDuplicates([id_col, text_col])

@@ -83,12 +83,12 @@ def codec(path: str) -> Codec:
 def _map(docs: DataFrame, model: str, id_col: str, text_col: str, fields: list[T.StructField], row) -> DataFrame:
     small_batches(docs.sparkSession)
     out = T.StructType([docs.schema[id_col], *fields])
-    kinds = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.ArrayType(T.IntegerType()): pa.list_(pa.int32())}
+    kinds = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.BooleanType(): pa.bool_(), T.ArrayType(T.IntegerType()): pa.list_(pa.int32())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            found = [row(own.run(t or "")) for t in batch.column(1).to_pylist()]
+            found = [row(own.run(t or ""), t or "") for t in batch.column(1).to_pylist()]
             columns = zip(*found, strict=True) if found else [[] for _ in fields]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), kinds[f.dataType]) for c, f in zip(columns, fields, strict=True))], out.names)
 
@@ -96,16 +96,16 @@ def _map(docs: DataFrame, model: str, id_col: str, text_col: str, fields: list[T
 
 
 def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id, n_tokens and ids (array) of every row, and the text that the ids decode to."""
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-    return _map(docs, model, id_col, text_col, fields, lambda r: (r[1], [int(x) for x in r[0].split(",")] if r[0] else [], r[2]))
+    """The id, n_tokens and ids (array) of every row, the text that the ids decode to, and whether it is the row's own."""
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType()), T.StructField("round_trip", T.BooleanType())]
+    return _map(docs, model, id_col, text_col, fields, lambda r, text: (r[1], list(map(int, r[0].split(","))) if r[0] else [], r[2], r[2] == text))
 
 
 def encode_digests(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As ``encode``, with digests in place of the ids and the decoded text."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     digest = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-    return _map(docs, model, id_col, text_col, fields, lambda r: (r[1], digest(r[0]), digest(r[2])))
+    return _map(docs, model, id_col, text_col, fields, lambda r, _: (r[1], digest(r[0]), digest(r[2])))
 
 
 def decode(rows: DataFrame, model: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
