@@ -276,6 +276,5 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
 
 def accepted(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in a known language; those without a letter (``und``) go."""
-    rows = identify(docs, model, id_col=id_col, text_col=text_col, keep=tuple(docs.columns))
-    return rows.where(F.col("lang_pred") != "und").select(*docs.columns)
-
+    whole = docs.select(id_col, text_col, F.struct(*docs.columns).alias("whole row"))
+    return identify(whole, model, id_col=id_col, text_col=text_col, keep=("whole row",)).where(F.col("lang_pred") != "und").select("whole row.*")

@@ -113,13 +113,18 @@ def candidates(index: DataFrame, queries: dict[int, object]) -> DataFrame:
     return flat.groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Every row's id, the ``keep`` columns, and found: array of (start, ord, end, kind) by start, then rule order."""
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row's id, and found: array of (start, ord, end, kind) by start, then rule order."""
+    return _scanned(docs, rules, id_col, text_col, [id_col]).select("row.*", "found")
+
+
+def _scanned(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str, keep: list[str]) -> DataFrame:
+    """(row, found): ``row`` is a struct of the ``keep`` columns, so that no name can clash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.xxhash64(F.col(id_col), text)
     queries = {i: trigrams.lighten(trigrams.query(r.pattern)) for i, r in enumerate(rules)}
     indexed = {i: q for i, q in queries.items() if q is not True}
-    rows = docs.select(F.struct(*dict.fromkeys([id_col, *keep])).alias("row"), text.alias("t"), key.alias("key"))
+    rows = docs.select(F.struct(*keep).alias("row"), text.alias("t"), key.alias("key"))
     if indexed:
         wanted = sorted(set().union(*map(trigrams.names, indexed.values())))
         hits = settle(candidates(build_index(docs, wanted, key, text), indexed), "secret-candidates")
@@ -134,7 +139,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, id_col: str = "doc
         else:
             found = spans_of(F.col("t"), rule, i)
             parts.append(F.when(F.col("t").rlike(rule.guard), found).otherwise(nothing) if rule.guard else found)
-    return rows.select("row.*", F.array_sort(F.concat(*parts)).alias("found"))
+    return rows.select("row", F.array_sort(F.concat(*parts)).alias("found"))
 
 
 def joined(found: Column) -> Column:
@@ -152,14 +157,15 @@ def digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every found span replaced by ``mask``; overlapping spans become one. Null texts stay null."""
-    rows = scan(docs, id_col=id_col, text_col=text_col, keep=tuple(docs.columns))
+    rows = _scanned(docs, RULES, id_col, text_col, docs.columns)
+    text = F.col("row")[text_col]
     clean = F.aggregate(
         "found",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(
-            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.concat(F.col(text_col).substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise("")).alias("out"))
+            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.concat(text.substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise("")).alias("out"))
         ),
-        lambda acc: F.concat(acc["out"], F.col(text_col).substr(acc["at"] + 1, F.length(text_col))),
+        lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))),
     )
-    new = F.when(F.size("found") > 0, clean).otherwise(F.col(text_col))
-    return rows.select(*(new.alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    new = F.when(F.size("found") > 0, clean).otherwise(text)
+    return rows.select(*((new if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns))
