@@ -40,17 +40,17 @@ def rollout(history: DataFrame, predict: Callable[[DataFrame], DataFrame], horiz
         .withColumn("_past", F.reverse(F.col("_past.x")))
         .drop("_prior", "_last")
     )
-    out = None
-    for h in range(1, max(wanted, default=0) + 1):
+    if not wanted:
+        return history.select(*keys, "week").withColumn("horizon", F.lit(0)).withColumn("forecast_units", F.lit(0.0)).where(F.lit(False))
+    state = state.withColumn("_steps", F.array().cast("array<struct<week:date,horizon:int,forecast_units:double>>"))
+    for h in range(1, max(wanted) + 1):
         known = F.filter("_past", lambda x: x.isNotNull())
         mean = F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), F.size(known))
         lags = {f"lag_{k}": F.try_element_at("_past", F.lit(k)) for k in (1, 2, 4)}
-        rows = state.withColumns({**lags, "roll_4_mean": mean, "ema_4": F.col("_ema"), target: F.lit(0.0), "_at": F.date_add(F.to_date("week"), 7 * h)})
+        rows = state.withColumns({**lags, "roll_4_mean": mean, "ema_4": F.col("_ema"), target: F.lit(0.0)})
         done = predict(rows).withColumn("_new", F.greatest(F.col("prediction").cast("double"), F.lit(0.0)))
-        if h in wanted:
-            step = done.select(*keys, F.col("_at").alias("week"), F.lit(h).alias("horizon"), F.col("_new").alias("forecast_units"))
-            out = step if out is None else out.unionByName(step)
-        state = done.withColumn("_past", F.slice(F.concat(F.array("_new"), "_past"), 1, 4)).withColumn("_ema", (1 - ALPHA) * F.col("_ema") + ALPHA * F.col("_new")).select(*state.columns)
-    if out is None:
-        return history.select(*keys, "week").withColumn("horizon", F.lit(0)).withColumn("forecast_units", F.lit(0.0)).where(F.lit(False))
-    return out
+        step = F.array(F.struct(F.date_add(F.to_date("week"), 7 * h).alias("week"), F.lit(h).alias("horizon"), F.col("_new").alias("forecast_units")))
+        moved = {"_past": F.slice(F.concat(F.array("_new"), "_past"), 1, 4), "_ema": (1 - ALPHA) * F.col("_ema") + ALPHA * F.col("_new")}
+        state = done.withColumns(moved | ({"_steps": F.concat("_steps", step)} if h in wanted else {})).select(*state.columns)
+    # The steps ride along in the row, so every step is computed once.
+    return state.select(*keys, F.inline("_steps"))
