@@ -204,7 +204,8 @@ def _candidate_sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: s
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()))], ["root", "h1", "sketch", "n", "members"])
 
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    both = texts.join(chosen, F.col("doc").eqNullSafe(F.col("id"))).select("root", "h1", "h2", "text")
+    # The same plan at every size: texts are dealt by id once, and no list of ids is broadcast.
+    both = texts.join(chosen.hint("merge"), F.col("doc").eqNullSafe(F.col("id"))).select("root", "h1", "h2", "text")
     return both.mapInArrow(run, "root bigint, h1 bigint, sketch binary, n bigint, members binary").dropDuplicates(["h1"])
 
 
