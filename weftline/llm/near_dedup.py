@@ -9,11 +9,15 @@
    class. In every bucket each class is tied to the bucket's least class: rows as many as members,
    never pairs. The components of these ties are the candidate groups.
 3. A candidate group is taken apart into linked components by exact set comparison. Groups beyond
-   ``GROUP_BYTES`` or ``GROUP_SETS`` are cut into blocks and pairs of blocks are compared in tasks
-   of their own. A pair is compared only if the two are not yet connected and the joint likelihood
-   of their registers doesn't rule the threshold out; one pass over the postings of a set's
-   shingles compares it with all others of the block.
-4. Components of the confirmed links, and the least id of each.
+   ``GROUP_BYTES`` or ``GROUP_SETS`` are cut into blocks. Blocks are linked inside first, then
+   through one central set of each. Only sets outside a group's largest component so far are still
+   compared with the whole group, block by block: what is already connected needs no more links. A
+   pair is compared only if the two are not yet connected and the joint likelihood of their
+   registers doesn't rule the threshold out; one pass over the postings of a set's shingles
+   compares it with all others of the block.
+4. Components of the confirmed links, and the least id of each. Rows get theirs by the class of
+   their set; classes with at least 1/``HOT`` of all rows (so at most ``HOT``) by a broadcast, so
+   that the rows of one text are never gathered in a task.
 
 Defined results: a null or blank text has an empty set and is its own component; repeated rows are
 exact copies; null ids take part but are never a component's id unless it has no other (then it is
@@ -43,6 +47,7 @@ BAND = 8
 MISS = 1e-6
 GROUP_BYTES = 8 << 20
 GROUP_SETS = 1024
+HOT = 4096
 #: Twice the log of the likelihood ratio beyond which a pair is ruled out (a normal deviate of 7).
 RULED_OUT = 49.0
 
@@ -128,9 +133,10 @@ def possible(own: np.ndarray, own_n: int, others: np.ndarray, others_n: np.ndarr
     return (cap >= threshold - 1e-9) & (2 * (most - at) <= RULED_OUT)
 
 
-def linked(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links between ``left`` and ``right`` members (the same, or disjoint)."""
-    parent = list(range(len(sets)))
+def linked(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int, known: list[int] | None = None) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the links between ``left`` and ``right`` members (the same, or disjoint); equal ``known`` numbers are connected already."""
+    first_of: dict[int, int] = {}
+    parent = [first_of.setdefault(x, i) for i, x in enumerate(known)] if known is not None else list(range(len(sets)))
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -145,7 +151,7 @@ def linked(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray, right
     posted, first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(inverse))])
     ends = np.concatenate([[0], np.cumsum(sizes)])
     within = len(left) == len(right) and bool((left == right).all())
-    roots, edges = np.arange(len(sets)), []
+    roots, edges, seen = np.array(parent), [], 0
     for place, i in enumerate(left):
         others = right[place + 1 :] if within else right
         others = others[roots[others] != roots[i]]
@@ -162,7 +168,8 @@ def linked(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray, right
             if a != b:
                 parent[max(a, b)] = min(a, b)
                 edges.append((int(i), int(j)))
-        roots = np.array([find(x) for x in range(len(sets))]) if edges else roots
+        if len(edges) > seen:
+            roots, seen = np.array([find(x) for x in range(len(sets))]), len(edges)
     return edges
 
 
@@ -209,28 +216,73 @@ def _candidate_sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: s
     return both.mapInArrow(run, "root bigint, h1 bigint, sketch binary, n bigint, members binary").dropDuplicates(["h1"])
 
 
-def _confirm(candidates: DataFrame, percent: int) -> DataFrame:
-    """(u, v): spanning links of each candidate group, or of each pair of its blocks."""
-    sizes = candidates.groupBy("root").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sets"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("total") * 8 / F.lit(GROUP_BYTES)), F.ceil(F.col("sets") / F.lit(GROUP_SETS))).cast("int")
-    rows = candidates.join(sizes.where("sets > 1").select("root", parts.alias("parts")), "root").withColumn("own", F.pmod(F.xxhash64("h1"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "h1", "sketch", "members")
+_LINKS = "u bigint, v bigint"
+
+
+def _parts(total, sets):
+    """How many blocks hold so many shingles of so many sets: always fewer than sets."""
+    return F.least(F.greatest(F.lit(1), F.ceil(total * 8 / F.lit(GROUP_BYTES)), F.ceil(sets / F.lit(GROUP_SETS))), F.ceil(sets / F.lit(2))).cast("int")
+
+
+def _loaded(group: pa.Table) -> tuple[list[int], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Names, sets and sketches of a task's rows, and their order by likeness to the commonest registers.
+
+    The largest reach goes first: a text that all copies stem from then ties them in one step.
+    """
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
+    sketches = np.stack([np.frombuffer(x, np.uint16) for x in group.column("sketch").to_pylist()])
+    return group.column("h1").to_pylist(), sets, sketches, np.argsort(-(sketches == _mode(sketches)).sum(axis=1), kind="stable")
+
+
+def _inside(blocks: DataFrame, percent: int) -> DataFrame:
+    """(u, v): spanning links inside every block of candidates, and (central set, null) of each block."""
+
+    def link(group: pa.Table) -> pa.Table:
+        ids, sets, sketches, centre = _loaded(group.combine_chunks())
+        edges = linked(sets, sketches, centre, centre, percent)
+        return pa.table({"u": pa.array([ids[a] for a, _ in edges] + [ids[centre[0]]], pa.int64()), "v": pa.array([ids[b] for _, b in edges] + [None], pa.int64())})
+
+    return blocks.select("root", "own", "h1", "sketch", "members").groupBy("root", "own").applyInArrow(link, _LINKS)
+
+
+def _across(blocks: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """(u, v): further links of the groups, given ``links``: sets outside a group's largest component against the whole group."""
+    now = components(links)
+    known = blocks.select("root", "h1", "n").join(now.select("node", F.col("root").alias("top")), F.col("h1") == F.col("node"), "left").select("root", "h1", "n", F.coalesce("top", "h1").alias("known"))
+    known = settle(known, "known")
+    main = known.groupBy("root", "known").agg(F.count(F.lit(1)).alias("sets")).groupBy("root").agg(F.max_by("known", F.struct("sets", "known")).alias("main"))
+    rest = settle(known.join(main, "root").where("known <> main").select("root", "h1", "n"), "rest")
+    shares = rest.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") * 8 / F.lit(GROUP_BYTES)), F.ceil(F.count(F.lit(1)) / F.lit(GROUP_SETS))).cast("int").alias("rests"))
+    whole = blocks.join(known.select("h1", "known"), "h1").join(shares, "root")
+    cell = F.pmod(F.xxhash64("h1", F.lit(1)), F.col("rests")).cast("int")
+    columns = ["root", "h1", "sketch", "members", "known"]
+    left = whole.join(rest.select("h1"), "h1", "left_semi").select(*columns, cell.alias("rest"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("own"), F.lit(True).alias("asks"))
+    right = whole.select(*columns, F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("rest"), "own", F.lit(False).alias("asks"))
 
     def link(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        ids = group.column("h1").to_pylist()
-        sets = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
-        sketches = np.stack([np.frombuffer(x, np.uint16) for x in group.column("sketch").to_pylist()])
-        own = np.array(group.column("own").to_pylist())
-        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        # The largest reach goes first: a text that all copies stem from then ties them in one step.
-        centre = np.argsort(-(sketches == _mode(sketches)).sum(axis=1), kind="stable") if len(ids) > 8 else np.arange(len(ids))
-        left = centre[own[centre] == low]
-        edges = linked(sets, sketches, left, left if low == high else centre[own[centre] == high], percent)
+        ids, sets, sketches, centre = _loaded(group)
+        asks = np.array(group.column("asks").to_pylist(), bool)[centre]
+        edges = linked(sets, sketches, centre[asks], centre[~asks], percent, group.column("known").to_pylist()) if asks.any() and not asks.all() else []
         return pa.table({"u": pa.array([ids[a] for a, _ in edges], pa.int64()), "v": pa.array([ids[b] for _, b in edges], pa.int64())})
 
-    return rows.groupBy("root", "low", "high").applyInArrow(link, "u bigint, v bigint")
+    return left.union(right.select(left.columns)).groupBy("root", "rest", "own").applyInArrow(link, _LINKS)
+
+
+def _confirm(candidates: DataFrame, percent: int) -> DataFrame:
+    """(u, v): spanning links of every candidate group."""
+    sizes = candidates.groupBy("root").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sets"))
+    sizes = sizes.where("sets > 1").select("root", _parts(F.col("total"), F.col("sets")).alias("parts"))
+    blocks = candidates.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("h1"), F.col("parts")).cast("int"))
+    inside = settle(_inside(blocks, percent), "links-inside")
+    links = inside.where("v IS NOT NULL")
+    large = blocks.where("parts > 1")
+    centres = settle(large.select(candidates.columns).join(inside.where("v IS NULL").select(F.col("u").alias("h1")), "h1", "left_semi"), "centres")
+    # Each round has fewer sets than the last, as a group has fewer blocks than sets.
+    if centres.isEmpty():
+        return links
+    links = settle(links.union(_confirm(centres.select(candidates.columns), percent)), "links-so-far")
+    return links.union(_across(large, links, percent))
 
 
 def _mode(sketches: np.ndarray) -> np.ndarray:
@@ -246,21 +298,31 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, *, id_co
     """id, n_shingles, component_id and kept of every row; linked: 100 * intersection >= percent * union."""
     small_batches(docs.sparkSession)
     rows = settle(sketched(docs, id_col, text_col, words, percent), "sketches")
-    keys = rows.where("n > 0").select("h1", F.explode("bands").alias("key"))
+    # One row for each distinct set, whatever the number of its copies.
+    classes = rows.where("n > 0").groupBy("h1").agg(F.min("id").alias("id"), F.min("h2").alias("h2"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+    classes = settle(classes, "classes")
+    keys = classes.select("h1", F.explode("bands").alias("key"))
     buckets = settle(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("key", "low"), "buckets")
     ties = keys.join(buckets, "key").select(F.col("h1").alias("u"), F.col("low").alias("v"))
     groups = components(ties)
     groups = settle(groups.union(groups.select("root", "root").distinct()), "groups")
-    chosen = rows.join(groups, F.col("h1") == F.col("node")).groupBy("root", "h1", "h2").agg(F.min("id").alias("id"))
-    candidates = settle(_candidate_sets(docs, settle(chosen, "chosen"), id_col, text_col, words), "candidate-sets")
+    chosen = settle(classes.select("h1", "h2", "id").join(groups, F.col("h1") == F.col("node")).select("root", "h1", "h2", "id"), "chosen")
+    candidates = settle(_candidate_sets(docs, chosen, id_col, text_col, words), "candidate-sets")
     links = settle(_confirm(candidates, percent), "links")
     joined = components(links)
-    tagged = rows.select("id", "n", "h1").join(joined, F.col("h1") == F.col("node"), "left").select("id", "n", F.coalesce("root", "h1").alias("own"))
-    tagged = settle(tagged, "tagged")
-    least = tagged.where("n > 0").groupBy("own").agg(F.min("id").alias("least"))
-    out = tagged.join(least.withColumnRenamed("own", "k"), F.col("own") == F.col("k"), "left")
-    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    owned = classes.select("h1", "id", "copies").join(joined, F.col("h1") == F.col("node"), "left").select("h1", "id", "copies", F.coalesce("root", "h1").alias("own"))
+    owned = settle(owned, "owned")
+    least = owned.groupBy("own").agg(F.min("id").alias("least"))
+    places = settle(owned.join(least, "own").select("h1", "copies", "least"), "places")
+    full = rows.where("n > 0").select("id", "n", "h1")
+    hot = places.where(F.col("copies") * HOT >= (places.agg(F.sum("copies")).first()[0] or 0))
+    # At most HOT rows, by what hot means.
+    hot = F.broadcast(settle(hot.select("h1", "least"), "hot"))
+    out = full.join(hot, "h1").select("id", "n", "least")
+    cold = full.join(hot, "h1", "left_anti").join(places.select("h1", "least"), "h1").select("id", "n", "least")
+    blank = rows.where("n = 0").select("id", "n", F.col("id").alias("least"))
+    out = out.union(cold).union(blank)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), F.coalesce(F.col("id") == F.col("least"), F.lit(False)).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, percent: int = 80, words: int = 5, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
