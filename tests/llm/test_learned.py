@@ -117,6 +117,19 @@ def test_paraphrases_and_common_subsequences(spark):
     assert decontamination.common(a, b) == table_[-1, -1]
 
 
+def test_short_and_reworded_items_are_found(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 7))
+    fill = lambda n: [word() for _ in range(n)]
+    items = [fill(int(n)) for n in rng.integers(5, 60, 60)]
+    reworded = [[word() if i % 5 == 4 else w for i, w in enumerate(x)] for x in items]
+    planted = [fill(int(rng.integers(0, 200))) + x + fill(int(rng.integers(40, 200))) for x in items + reworded]
+    rows = [(i, " ".join(x)) for i, x in enumerate([*planted, *(fill(200) for _ in range(20))])]
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    got = {r.doc_id: [x.item for x in r["items"]] for r in decontamination.check(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+    assert got == {i: [i % 60] if i < 120 else [] for i, _ in rows}
+
+
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
 
