@@ -4,8 +4,9 @@
    for each, the minimum over the set of exponentially distributed hashes, kept as its exponent in
    base ``BASE`` and truncated to 16 bits. Registers of two sets' union are the maxima of theirs
    (``merge``), and two registers agree about as often as the sets overlap.
-2. Band keys are hashes of ``BAND`` registers. There are as many bands as make the chance to miss a
-   pair at the threshold less than ``MISS``. Texts with equal sets have equal bands and are one
+2. Band keys are hashes of ``BAND`` registers that no other band has, of a longer sketch made for
+   them alone. So bands agree independently of one another, and there are as many as make the chance
+   to miss a pair at the threshold less than ``MISS``. Texts with equal sets have equal bands and are one
    class. In every bucket each class is tied to the bucket's least class: rows as many as members,
    never pairs. The components of these ties are the candidate groups.
 3. A candidate group is taken apart into linked components by exact set comparison. Groups beyond
@@ -55,6 +56,7 @@ _U = np.uint64
 _rng = np.random.default_rng(20_210_103)
 _FACTORS = _rng.integers(0, 1 << 32, REGISTERS, dtype=np.uint32) | np.uint32(1)
 _SHIFTS = _rng.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
+_CELLS = 1 << 18
 
 
 def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
@@ -79,13 +81,14 @@ def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
     return out
 
 
-def registers(members: np.ndarray) -> np.ndarray:
-    """The SetSketch registers of a set of 64-bit hashes."""
+def registers(members: np.ndarray, factors: np.ndarray = _FACTORS, shifts: np.ndarray = _SHIFTS) -> np.ndarray:
+    """The SetSketch registers of a set of 64-bit hashes, one for each factor and shift."""
     x = (members >> _U(32)).astype(np.uint32)
-    most = np.zeros(REGISTERS, np.uint32)
-    for at in range(0, len(x), 2048):
-        v = _FACTORS[:, None] * x[None, at : at + 2048]
-        v += _SHIFTS[:, None]
+    most = np.zeros(len(factors), np.uint32)
+    step = max(1, _CELLS // len(factors))
+    for at in range(0, len(x), step):
+        v = factors[:, None] * x[None, at : at + step]
+        v += shifts[:, None]
         np.maximum(most, v.max(axis=1), out=most)
     least = -np.log((most.astype(np.float64) + 0.5) / 4294967296.0) / RATE
     return np.clip(np.floor(1.0 - np.log(least) / math.log(BASE)), 0, TOP).astype(np.uint16)
@@ -97,10 +100,15 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def bands_for(threshold: float) -> np.ndarray:
-    """(bands x BAND) register numbers: enough bands to miss a pair at the threshold with a chance under MISS."""
+    """(bands x BAND) register numbers, each once: enough bands to miss a pair at the threshold with a chance under MISS."""
     n = math.ceil(math.log(MISS) / math.log1p(-(threshold**BAND)))
+    return np.arange(n * BAND).reshape(n, BAND)
+
+
+def band_hashes(bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of the registers that the bands need."""
     rng = np.random.default_rng(8)
-    return np.stack([rng.choice(REGISTERS, BAND, replace=False) for _ in range(n)])
+    return rng.integers(0, 1 << 32, bands.size, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, bands.size, dtype=np.uint32)
 
 
 def band_keys(sketches: np.ndarray, bands: np.ndarray) -> np.ndarray:
@@ -176,13 +184,14 @@ def linked(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray, right
 def sketched(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """id, n (set size), h1 and h2 (128 bits that name the set) and the band keys of every row."""
     bands = bands_for(percent / 100)
+    factors, shifts = band_hashes(bands)
     out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist(), words)
             full = [i for i, s in enumerate(sets) if len(s)]
-            keys = band_keys(np.stack([registers(sets[i]) for i in full]), bands) if full else np.zeros((0, len(bands)), np.int64)
+            keys = band_keys(np.stack([registers(sets[i], factors, shifts) for i in full]), bands) if full else np.zeros((0, len(bands)), np.int64)
             ends = np.zeros(len(sets) + 1, np.int32)
             ends[1:][full] = len(bands)
             names = [name(s) for s in sets]
