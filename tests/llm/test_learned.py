@@ -175,6 +175,16 @@ def test_two_nodes_are_summed_exactly():
     assert np.allclose(field.marginals(g)[0], joint.sum(axis=1) / joint.sum(), atol=1e-3)
 
 
+@pytest.mark.parametrize("n", [21, 200])
+def test_evidence_reaches_the_last_repeat(n):
+    tie = np.full((5, 5), -4.0) + 8 * np.eye(5)
+    field = pii.Field(np.zeros((pii.FEATURES, 5)), np.zeros((5, 5)), tie)
+    g = pii.Graph([(2 * i, 2 * i + 1) for i in range(n)], [1] * n, [4] + [0] * (n - 1), [], [(i - 1, i) for i in range(1, n)])
+    step = np.exp(tie) / np.exp(tie).sum(axis=1, keepdims=True)
+    exact = np.stack([np.linalg.matrix_power(step, i)[4] for i in range(n)])
+    assert np.allclose(field.marginals(g), exact, atol=1e-3) and exact[20, 4] > pii.SURE
+
+
 def test_stages_keep_columns(spark, odd, tmp_path):
     import corpus_pipeline
 
