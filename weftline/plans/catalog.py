@@ -417,7 +417,7 @@ def poisson_glm(spark, sf):
 @query()
 def gbt_forecast(spark, sf):
     rows = training_frame(spark, sf)
-    fitted = models.boosted_trees(rows.where("split = 'train'"), MODEL_FEATURES, params={"maxIter": 10})
+    fitted = models.boosted_trees(rows.where("split = 'train'"), MODEL_FEATURES)
     return shown(rollout(w.time_features(panel.weekly(spark, sf)), fitted.predict), "week", *KEYS, "horizon", "forecast_units")
 
 
@@ -431,7 +431,7 @@ def store_clusters(spark, sf):
 def permutation_importance(spark, sf):
     rows = training_frame(spark, sf)
     fitted = models.poisson_glm(rows.where("split = 'train'"), MODEL_FEATURES, reg=0.01)
-    return shown(models.permutation_importance(fitted.predict, rows.where("split = 'val'").select(*KEYS, "week", "units", *MODEL_FEATURES), ["lag_1", "roll_4_mean", "price"], repeats=2), "feature", "importance", "deviation")
+    return shown(models.permutation_importance(fitted.predict, rows.where("split = 'val'").select(*KEYS, "week", "units", *MODEL_FEATURES), MODEL_FEATURES), "feature", "importance", "deviation")
 
 
 @query()
@@ -444,5 +444,5 @@ def pdp_table(spark, sf):
 @query()
 def param_search(spark, sf):
     rows = training_frame(spark, sf).where("split = 'train'")
-    found = models.param_search(rows, MODEL_FEATURES, trials=2, folds=2)
+    found = models.param_search(rows, MODEL_FEATURES, trials=50)
     return spark.createDataFrame([(i + 1, s, str(p)) for i, (s, p) in enumerate(found)], "place int, wape double, params string")
