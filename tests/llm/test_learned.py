@@ -45,6 +45,11 @@ def test_languages(spark, odd, none):
     assert {r.lang_pred for r in language_id.identify(odd, None).collect()} == {"und"} and language_id.identify(none, model).count() == 0
 
 
+def test_all_with_a_letter_are_accepted_without_a_model(odd):
+    kept = language_id.accepted(odd, None)
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 4
+
+
 def test_scripts_narrow_candidates(spark):
     rows = [(i, "красная книга дома " * 5 if i % 2 else "red book of houses " * 5, "ru" if i % 2 else "en") for i in range(40)]
     model = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))

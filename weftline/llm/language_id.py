@@ -275,6 +275,8 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
 
 
 def accepted(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in a known language; those without a letter (``und``) go."""
+    """The rows of ``docs`` in a known language; those without a letter (``und``) go, and only those if there is no model."""
+    if model is None:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
     whole = docs.select(id_col, text_col, F.struct(*docs.columns).alias("whole row"))
     return identify(whole, model, id_col=id_col, text_col=text_col, keep=("whole row",)).where(F.col("lang_pred") != "und").select("whole row.*")
