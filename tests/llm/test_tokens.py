@@ -53,6 +53,23 @@ def test_pieces_are_the_librarys():
         assert own.run(text) == (",".join(map(str, ids)), len(ids), own.model.decode(ids))
 
 
+def test_decoded_texts_come_from_decode():
+    own = sentencepiece_codec.Codec(tokenizer("piece_bpe_32k.model"))
+    asked, real = [], own.decode
+    own.decode = lambda ids: asked.append(list(ids)) or real(ids)
+    assert own.run("two words  and two")[2] == "two words  and two" and own._encode("two") in asked
+    seen = len(asked)
+    assert own.run("two words")[2] == "two words" and len(asked) == seen
+    own.table.clear()
+    own.decode = lambda ids: real(ids).upper()
+    assert own.run("two words")[2] == "TWO WORDS"
+
+
+def test_a_text_that_does_not_come_back_is_told(spark):
+    rows = spark.createDataFrame([(1, "a▁b"), (2, "a b")], "doc_id bigint, text string")
+    assert {r.doc_id: r.round_trip for r in sentencepiece_codec.encode(rows, tokenizer("piece_bpe_32k.model")).collect()} == {1: False, 2: True}
+
+
 def test_encode_and_decode(spark, odd, none):
     model = tokenizer("piece_bpe_32k.model")
     rows = sentencepiece_codec.encode(odd, model)

@@ -1,11 +1,16 @@
 """SentencePiece encoding and decoding through a table of distinct chunks.
 
-In a BPE model none of whose pieces has a whitespace marker after another character, no merge
-crosses from a character to a following marker. A text then falls into *marked words*: a run of
-markers with the characters up to the next run. Each distinct marked word is segmented once in a
-worker and its ids, their count and its decoded text are kept in a bounded table; a text's ids
-are its words' ids joined by position. A model for which this does not hold is encoded text by
-text with the library, as are the few texts whose characters the model's normaliser would change.
+In a model none of whose pieces has a whitespace marker after another character, no piece crosses
+from a character to a following marker. A text then falls into *marked words*: a run of markers with
+the characters up to the next run. Each distinct marked word is encoded by the library once in a
+worker, and its ids are decoded by the library twice: as the beginning of a text, where the library
+gives up the marker that it put there itself, and after another piece. Ids, their count and both
+decoded texts are kept in a bounded table; a text's ids and its decoded text are those of its words,
+joined by position.
+
+The join is proved for each model and text and not assumed: the marker is a piece of its own (so no
+word begins inside a run of bytes or unknown characters), no piece crosses, and the model's normaliser
+leaves the text as it is but for the markers. Otherwise the whole text goes to the library's encode and decode.
 
 Defined results: a null text is as an empty one (no ids, empty decoded text); ids, repeated and
 null, are carried through, one row out for each row in; an empty table gives an empty table.
@@ -36,42 +41,44 @@ class Codec:
         import sentencepiece
 
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.decode = model.decode
         crossing = re.compile(f"[^{MARK}]{MARK}")
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-        probe = " aé\t\n  Åﬁ① z"
-        self.by_chunk = not any(crossing.search(p) for p in pieces) and model.normalize(probe) == MARK + probe.replace(" ", MARK) and all(model.is_control(i) or not model.is_unused(i) for i in range(len(pieces)))
-        self.table: dict[str, tuple[str, int, str]] = {}
+        self.mark = model.piece_to_id(MARK)
+        known = self.mark != model.unk_id() and all(model.is_control(i) or not model.is_unused(i) for i in range(len(pieces)))
+        self.by_chunk = known and not any(crossing.search(p) for p in pieces)
+        self.table: dict[str, tuple[str, int, str, str]] = {}
 
-    def _plain(self, text: str) -> tuple[list[int], str]:
-        ids = self.model.encode(text, add_bos=False, add_eos=False, enable_sampling=False)
-        return ids, self.model.decode(ids)
+    def _encode(self, text: str) -> list[int]:
+        return self.model.encode(text, add_bos=False, add_eos=False, enable_sampling=False)
 
-    def _segment(self, chunk: str) -> tuple[str, int, str]:
-        """Ids (decimal, comma-joined), their count and the decoded text of one marked word."""
+    def _segment(self, chunk: str) -> tuple[str, int, str, str]:
+        """Ids (decimal, comma-joined), their count, and what they decode to at the beginning of a text and after a piece."""
         # The model puts a marker of its own before a text; every chunk begins with one, so it gives its first up.
-        ids = [self.model.piece_to_id(MARK)] if chunk == MARK else self.model.encode(chunk[1:].replace(MARK, " "), add_bos=False, add_eos=False, enable_sampling=False)
-        return ",".join(map(str, ids)), len(ids), chunk.replace(MARK, " ")
+        ids = [self.mark] if chunk == MARK else self._encode(chunk[1:].replace(MARK, " "))
+        after = self.decode([self.mark, self.mark, *ids])[len(self.decode([self.mark, self.mark])) :]
+        return ",".join(map(str, ids)), len(ids), self.decode(ids), after
 
     def run(self, text: str) -> tuple[str, int, str]:
         """Ids as decimals joined by commas, their count, and the decoded text."""
         if not text:
             return "", 0, ""
-        if not self.by_chunk or MARK in text or "\x00" in text:
-            ids, back = self._plain(text)
-            return ",".join(map(str, ids)), len(ids), back
+        marked = MARK + text.replace(" ", MARK)
+        if not self.by_chunk or MARK in text or "\x00" in text or self.model.normalize(text) != marked:
+            ids = self._encode(text)
+            return ",".join(map(str, ids)), len(ids), self.decode(ids)
         table = self.table
-        chunks = _CHUNK.findall(MARK + text.replace(" ", MARK))
         if len(table) > TABLE_ROWS:
             table.clear()
         rows = []
-        for chunk in chunks:
+        for chunk in _CHUNK.findall(marked):
             row = table.get(chunk)
             if row is None:
                 row = self._segment(chunk)
                 if len(chunk) <= 256:
                     table[chunk] = row
             rows.append(row)
-        return ",".join([r[0] for r in rows]), sum([r[1] for r in rows]), "".join([r[2] for r in rows])[1:]
+        return ",".join([r[0] for r in rows]), sum([r[1] for r in rows]), rows[0][2] + "".join([r[3] for r in rows[1:]])
 
 
 def codec(path: str) -> Codec:
@@ -116,6 +123,6 @@ def decode(rows: DataFrame, model: str, *, id_col: str = "doc_id", ids_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([own.model.decode(list(x)) if x else "" for x in batch.column(1).to_pylist()], pa.string())], out.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([own.decode(list(x)) if x else "" for x in batch.column(1).to_pylist()], pa.string())], out.names)
 
     return rows.select(id_col, ids_col).mapInArrow(run, out)
