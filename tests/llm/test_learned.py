@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -180,6 +181,61 @@ def test_two_nodes_are_summed_exactly():
     assert np.allclose(field.marginals(g)[0], joint.sum(axis=1) / joint.sum(), atol=1e-3)
 
 
+def enumerated(field, g):
+    own = pii._bits(g.shapes) @ field.local
+    out = np.zeros((len(g.spans), 5))
+    for labels in itertools.product(*([k] if k else range(5) for k in g.seen)):
+        p = np.exp(sum(own[i, k] for i, k in enumerate(labels) if not g.seen[i]) + sum(field.chain[labels[a], labels[b]] for a, b in g.chain) + sum(field.skip[labels[a], labels[b]] for a, b in g.skip))
+        out[range(len(labels)), labels] += p
+    return out / out.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_marginals_against_enumeration(seed):
+    rng = np.random.default_rng(seed)
+    both = [x + x.T for x in rng.normal(size=(2, 5, 5)) * 0.3]
+    field = pii.Field(rng.normal(size=(pii.FEATURES, 5)) * 0.5, *both)
+    spans = [(3 * i, 3 * i + 2) for i in range(6)]
+    shapes = [int(x) for x in rng.integers(1, 1 << pii.FEATURES, 6)]
+    tree = pii.Graph(spans, shapes, [0, 2, 0, 0, 0, 0], [(0, 1), (1, 2), (2, 3)], [(3, 5), (1, 4)])
+    assert np.allclose(field.marginals(tree), enumerated(field, tree), atol=1e-6)
+    # A cycle of weak ties: close, as loops count evidence more than once.
+    loop = pii.Graph(spans, shapes, [3, 0, 0, 0, 0, 0], [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5)], [(1, 4), (2, 5)])
+    assert np.allclose(field.marginals(loop), enumerated(field, loop), atol=0.08)
+
+
+def test_covered_against_all_pairs():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        cuts = np.sort(rng.choice(80, 20, replace=False)).tolist()
+        spans = list(zip(cuts[::2], cuts[1::2], strict=True))
+        base = []
+        for kind in range(4):
+            cuts = np.sort(rng.choice(80, 8, replace=False)).tolist()
+            base += [(kind, a, b) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        expected = [next((k + 1 for a, k, b in sorted((a, k, b) for k, a, b in base) if x < b and a < y), 0) for x, y in spans]
+        assert pii.covered(spans, base) == expected
+
+
+def test_potentials_are_fitted_jointly():
+    # The shape says nothing; only a skip neighbour's label tells.
+    rows = [(1, 4, (0,) * 5, (0, 0, 0, 0, 1), 50.0), (1, 0, (0,) * 5, (1, 0, 0, 0, 0), 50.0), (1, 0, (0,) * 5, (0,) * 5, 50.0)]
+    field = pii.fitted(rows)
+    assert field.skip[4, 4] > 1 and (field.skip == field.skip.T).all() and abs(field.chain).max() < 1e-9
+
+
+def test_long_texts_end_in_seconds():
+    field = pii.Field(np.zeros((pii.FEATURES, 5)), np.eye(5), np.eye(5))
+    began = time.time()
+    for text in ("x" * 1_000_000 + "!@a.b", "a@" * 300_000, "1." * 400_000, "+1((" * 200_000, "1 " * 400_000):
+        pii.base_spans(text)
+    many = " ".join(f"+1 (555) {i:07d}" for i in range(20_000))
+    base = pii.base_spans(many)
+    assert len(base) == 20_000 and pii.added_spans(many, base, field) == []
+    pii.added_spans(" ".join(f"{i % 5000:07d}" for i in range(20_000)), [], field)
+    assert time.time() - began < 40
+
+
 @pytest.mark.parametrize("n", [21, 200])
 def test_evidence_reaches_the_last_repeat(n):
     tie = np.full((5, 5), -4.0) + 8 * np.eye(5)

@@ -8,11 +8,16 @@ their kind. Loopy belief propagation, until messages rest (within ``REST``), mak
 document of any length, and words whose marginal
 for a kind is at least ``SURE`` become further spans, joined where they stand side by side.
 
-Potentials are learned from a bounded sample of documents (``SAMPLE``, in expectation) with the base
-rules as labels. Base spans never depend on them.
+All potentials are learned jointly, by the pseudo-likelihood of each word's label given its shape and
+its neighbours' labels, from a bounded sample of texts (``SAMPLE`` at most, by a hash of id and text)
+with the base rules as labels. Base spans never depend on them.
+
+The work on a text is linear in its length: every rule passes over a character a bounded number of
+times, edges are as many as words, and a sweep of messages goes once along all words and back.
 
 Defined results: a null text is an empty one and has no spans; rows with null or repeated ids are
-each scanned; offsets count code points; an empty table gives an empty table.
+each scanned, and equal rows are learned from once; offsets count code points; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -29,17 +34,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.runtime import small_batches
+from weftline.llm.runtime import bounded_sample, small_batches
 
 SAMPLE = 4000
 SURE = 0.9
-#: Messages that change less than this in a round are at rest.
+#: Messages that change less than this in a sweep are at rest.
 REST = 1e-4
-DAMPING = 0.3
+#: One sweep carries messages along any stretch of text, so only loops need many; these damp the ones that swing.
+SWEEPS = 60
+DAMPED_AFTER = 6
+DAMPING = 0.5
 KINDS = ("email", "ip", "card", "phone")
 _N = len(KINDS) + 1
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # No match can begin inside a run of digits that an earlier start would have matched too.
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
@@ -57,30 +66,28 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def chunks(text: str, sign: str) -> Iterator[tuple[int, int]]:
-    """The stretches without white space around each ``sign``, once each."""
-    end = 0
-    at = text.find(sign)
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of the email rule: every sign with the run of characters before it and the domain after it."""
+    end, at = 0, text.find("@")
     while at >= 0:
         a = at
-        while a > end and not text[a - 1].isspace():
+        # A sign isn't in a run, so no character is passed twice.
+        while a > end and text[a - 1] in _LOCAL:
             a -= 1
-        stop = _BREAK.search(text, at)
-        end = stop.start() if stop else len(text)
-        yield a, end
-        at = text.find(sign, end)
+        m = _DOMAIN.match(text, at + 1) if a < at else None
+        end = m.end() if m else at + 1
+        if m:
+            yield a, end
+        at = text.find("@", end)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) of the base rules' matches, by kind, then start."""
-    out = []
-    if "@" in text:
-        for a, b in chunks(text, "@"):
-            out.extend((0, m.start(), m.end()) for m in _EMAIL.finditer(text, a, b))
+    out = [(0, a, b) for a, b in emails(text)] if "@" in text else []
     if _DIGITS.search(text) is None:
         return out
     if "." in text:
-        # Spaces can't be in a match; a bound on the parts' length keeps the conversion short.
+        # A bound on the parts' length keeps the conversion short.
         out.extend((1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 16:
@@ -141,26 +148,41 @@ class Graph:
     skip: list[tuple[int, int]]
 
 
+def covered(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[int]:
+    """For each span the kind, from 1, of the first base span (by start, then kind) that it overlaps, else 0."""
+    of_kind = [sorted((a, b) for kind, a, b in base if kind == k) for k in range(len(KINDS))]
+    at, out = [0] * len(KINDS), []
+    for x, y in spans:
+        first = None
+        # Spans of one kind don't overlap, so one pointer a kind moves on with the words.
+        for k, own in enumerate(of_kind):
+            while at[k] < len(own) and own[at[k]][1] <= x:
+                at[k] += 1
+            if at[k] < len(own) and own[at[k]][0] < y and (first is None or own[at[k]][0] < first[0]):
+                first = own[at[k]][0], k + 1
+        out.append(first[1] if first else 0)
+    return out
+
+
 def graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
     spans = nodes(text)
     chain = [(i - 1, i) for i in range(1, len(spans)) if spans[i][0] - spans[i - 1][1] <= 2]
     near = {j for _, j in chain}
-    seen = [0] * len(spans)
-    for kind, a, b in sorted(base, key=lambda s: (s[1], s[0]), reverse=True):
-        for i, (x, y) in enumerate(spans):
-            if x < b and a < y:
-                seen[i] = kind + 1
     last: dict[str, int] = {}
-    skip = []
+    skip = set()
     for i, (a, b) in enumerate(spans):
         word = text[a:b].lower()
         digits = "".join(_DIGITS.findall(word))
         for key in {word, "#" + digits if len(digits) >= 7 else word}:
             if len(key) >= 6:
-                if key in last and (last[key], i) not in chain:
-                    skip.append((last[key], i))
+                if key in last and not (last[key] == i - 1 and i in near):
+                    skip.add((last[key], i))
                 last[key] = i
-    return Graph(spans, [shape(text[a:b], i in near) for i, (a, b) in enumerate(spans)], seen, chain, sorted(set(skip)))
+    return Graph(spans, [shape(text[a:b], i in near) for i, (a, b) in enumerate(spans)], covered(spans, base), chain, sorted(skip))
+
+
+def _bits(shapes: list[int] | np.ndarray) -> np.ndarray:
+    return (np.array(shapes, np.int64)[:, None] >> np.arange(FEATURES)) & 1
 
 
 @dataclass
@@ -171,33 +193,50 @@ class Field:
 
     def marginals(self, g: Graph) -> np.ndarray:
         """(nodes x labels) by sum-product over chain and skip edges."""
-        x = (np.array(g.shapes, np.int64)[:, None] >> np.arange(FEATURES)) & 1
-        own = x @ self.local
+        own = _bits(g.shapes) @ self.local
+        own = np.exp(own - own.max(axis=1, keepdims=True))
         seen = np.array(g.seen)
-        own[seen > 0] = -40.0
-        own[seen > 0, seen[seen > 0]] = 0.0
+        own[seen > 0] = 0
+        own[seen > 0, seen[seen > 0]] = 1
+        pair = [np.exp(self.chain - self.chain.max())] * len(g.chain) + [np.exp(self.skip - self.skip.max())] * len(g.skip)
         edges = g.chain + g.skip
-        if edges:
-            a, b = np.array(edges).T
-            pair = np.concatenate([np.repeat(self.chain[None], len(g.chain), 0), np.repeat(self.skip[None], len(g.skip), 0)])
-            source, target = np.concatenate([a, b]), np.concatenate([b, a])
-            pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
-            back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
-            sent = np.zeros((len(source), _N))
-            # Damped messages go more than half an edge a round, so the bound cuts no path short; it ends loops that swing for ever.
-            for _ in range(50 + 2 * len(own)):
-                belief = own.copy()
-                np.add.at(belief, target, sent)
-                carried = (belief[source] - sent[back])[:, :, None] + pair
-                top = carried.max(axis=1, keepdims=True)
-                new = (top + np.log(np.exp(carried - top).sum(axis=1, keepdims=True)))[:, 0]
-                new -= new.max(axis=1, keepdims=True)
-                new = DAMPING * sent + (1 - DAMPING) * new
-                moved, sent = np.abs(new - sent).max(), new
-                if moved < REST:
-                    break
-            np.add.at(own, target, sent)
-        own = np.exp(own - own.max(axis=1, keepdims=True))
+        # What each end of an edge hears from the other: at 2e the later end, at 2e + 1 the earlier.
+        heard = np.full((2 * len(edges), _N), 1 / _N)
+        onward: list[list[tuple[int, int, np.ndarray]]] = [[] for _ in g.spans]
+        back: list[list[tuple[int, int, np.ndarray]]] = [[] for _ in g.spans]
+        ears: list[list[int]] = [[] for _ in g.spans]
+        for e, ((a, b), p) in enumerate(zip(edges, pair, strict=True)):
+            for m, i, j, p_ in ((2 * e, a, b, p), (2 * e + 1, b, a, p.T)):
+                if g.seen[i]:
+                    # An observed word says the same for ever.
+                    heard[m] = p_[g.seen[i]] / p_[g.seen[i]].sum()
+                elif not g.seen[j]:
+                    (onward if i == a else back)[i].append((m, m ^ 1, p_))
+                if not g.seen[j]:
+                    ears[j].append(m)
+        # Words that hear someone and have someone to tell; the others are settled already.
+        first, second = [i for i, x in enumerate(onward) if x], [i for i, x in reversed(list(enumerate(back))) if x]
+        for sweep in range(SWEEPS if first else 0):
+            moved = 0.0
+            for nodes_, out in ((first, onward), (second, back)):
+                for i in nodes_:
+                    for m, other, p in out[i]:
+                        told = own[i]
+                        for x in ears[i]:
+                            if x != other:
+                                told = told * heard[x]
+                        new = told @ p
+                        new = new / new.sum()
+                        if sweep >= DAMPED_AFTER:
+                            new = DAMPING * heard[m] + (1 - DAMPING) * new
+                        moved = max(moved, float(np.abs(new - heard[m]).max()))
+                        heard[m] = new
+            if moved < REST:
+                break
+        for i, xs in enumerate(ears):
+            for x in xs:
+                own[i] = own[i] * heard[x]
+                own[i] /= own[i].sum()
         return own / own.sum(axis=1, keepdims=True)
 
 
@@ -222,50 +261,51 @@ def added_spans(text: str, base: list[tuple[int, int, int]], field: Field | None
     return out
 
 
+def fitted(rows: list[tuple[int, int, tuple[int, ...], tuple[int, ...], float]]) -> Field:
+    """Local, chain and skip potentials at once, by penalised pseudo-likelihood.
+
+    A row is a word's shape, its label, how many chain and skip neighbours of each label it has, and how often that occurs.
+    """
+    x = np.concatenate([_bits([r[0] for r in rows]), np.array([r[2] for r in rows]), np.array([r[3] for r in rows])], axis=1).astype(float)
+    truth, weight = np.eye(_N)[[r[1] for r in rows]], np.sqrt(np.array([r[4] for r in rows]))
+    held = np.zeros((x.shape[1], _N))
+    steps = np.zeros_like(held)
+    for _ in range(400):
+        score = x @ held
+        p = np.exp(score - score.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        slope = x.T @ (weight[:, None] * (truth - p)) / weight.sum() - 1e-3 * held
+        # Steps shrink where slopes have been steep; an edge has no direction, so its potential is symmetric.
+        steps += slope**2
+        held += 0.3 * slope / (np.sqrt(steps) + 1e-6)
+        for a in (FEATURES, FEATURES + _N):
+            held[a : a + _N] = np.clip((held[a : a + _N] + held[a : a + _N].T) / 2, -4, 4)
+    return Field(held[:FEATURES], held[FEATURES : FEATURES + _N], held[FEATURES + _N :])
+
+
 def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field | None:
     """Potentials from a sample's base spans; None if it has no node."""
     small_batches(docs.sparkSession)
-    useful = docs.where(F.col(text_col).rlike("[0-9@]"))
-    n = useful.count()
-    chosen = useful.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(9)), F.lit(1 << 30)) < int(min(1.0, sample / max(n, 1)) * (1 << 30))).select(text_col)
+    useful = docs.where(F.col(text_col).rlike("[0-9@]")).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    chosen = bounded_sample(useful, sample, 9, "pii-sample").select("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[tuple[str, int, int]] = Counter()
+        held: Counter[tuple[int, int, tuple[int, ...], tuple[int, ...]]] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 g = graph(text, base_spans(text))
-                held.update(("node", s, k) for s, k in zip(g.shapes, g.seen, strict=True))
-                held.update(("chain", g.seen[a], g.seen[b]) for a, b in g.chain)
-                held.update(("skip", g.seen[a], g.seen[b]) for a, b in g.skip)
-        rows = [(what, a, b, n) for (what, a, b), n in held.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["what", "a", "b", "n"])
-
-    # Shapes are few; the rows are at most the nodes of the bounded sample.
-    rows = chosen.mapInArrow(count, "what string, a bigint, b bigint, n bigint").groupBy("what", "a", "b").agg(F.sum("n").alias("n")).collect()
-    node = sorted((r.a, r.b, r.n) for r in rows if r.what == "node")
-    if not node:
-        return None
-    x = (np.array([r[0] for r in node], np.int64)[:, None] >> np.arange(FEATURES)) & 1
-    y, weight = np.array([r[1] for r in node]), np.sqrt(np.array([float(r[2]) for r in node]))
-    local, truth = np.zeros((FEATURES, _N)), np.eye(_N)[y]
-    for _ in range(400):
-        score = x @ local
-        p = np.exp(score - score.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        local += 0.5 * (x.T @ (weight[:, None] * (truth - p)) / weight.sum() - 1e-3 * local)
-    share = np.bincount(y, [float(r[2]) for r in node], _N) + 1
-    share /= share.sum()
-
-    def pairs(what: str, same: float) -> np.ndarray:
-        seen = np.full((_N, _N), 0.5) + same * np.eye(_N)
-        for r in rows:
-            if r.what == what:
-                seen[r.a, r.b] += r.n
-                seen[r.b, r.a] += r.n
-        seen /= seen.sum()
-        return np.clip(np.log(seen / np.outer(share, share)), -4, 4)
-
-    return Field(local, pairs("chain", 0.5), pairs("skip", 2.0))
+                near = np.zeros((2, len(g.spans), _N), int)
+                for kind, edges in enumerate((g.chain, g.skip)):
+                    for a, b in edges:
+                        near[kind, a, g.seen[b]] += 1
+                        near[kind, b, g.seen[a]] += 1
+                held.update(zip(g.shapes, g.seen, map(tuple, near[0].tolist()), map(tuple, near[1].tolist()), strict=True))
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([*(pa.array([list(k[i]) if i > 1 else k[i] for k in held], kind) for i, kind in enumerate(kinds)), pa.array(list(held.values()), pa.int64())], ["shape", "label", "chain", "skip", "n"])
+
+    # The rows are at most the nodes of the bounded sample.
+    rows = chosen.mapInArrow(count, "shape bigint, label bigint, chain array<bigint>, skip array<bigint>, n bigint").groupBy("shape", "label", "chain", "skip").agg(F.sum("n").alias("n")).collect()
+    return fitted(sorted((r["shape"], r.label, tuple(r.chain), tuple(r.skip), float(r.n)) for r in rows)) if rows else None
 
 
 def find(docs: DataFrame, field: Field | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of text in one Arrow batch: some 100 KB documents still make a batch of tens of MB.
 ARROW_ROWS = 256
@@ -17,17 +18,19 @@ _scratch: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; a temporary one only where it is unset."""
+    """The folder that driver and executors share, as the session names it; where it is unset, a temporary one in local mode and an error elsewhere."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not named:
-        held = sc._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            return held.get()
-        named = tempfile.mkdtemp(prefix="weftline-")
-        sc.setCheckpointDir(named)
-        return sc._jsc.sc().getCheckpointDir().get()
-    return named
+    if named:
+        return named
+    held = sc._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that driver and executors share")
+    # One machine, as in tests: its own folders are shared.
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def _remove(path: str) -> None:
@@ -58,7 +61,34 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     _scratch.add(top)
     path = f"{top}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a settled table that nothing reads any more."""
+    _remove(df._settled_at)
+
+
+def bounded_sample(rows: DataFrame, size: int, seed: int, name: str) -> DataFrame:
+    """At most ``size`` of the rows that differ, those of the least 64-bit hashes of all columns, written once.
+
+    A first cut by the share of hashes leaves about twice the size, and equal rows become one, so that
+    neither null nor repeated ids bring more; of the hashes left the driver sees that many.
+    """
+    n = rows.count()
+    dealt = rows.withColumn("spin of it", F.xxhash64(*rows.columns, F.lit(seed)))
+    if n > 2 * size:
+        dealt = dealt.where(F.col("spin of it") < below(2 * size, n))
+    chosen = settle(dealt.dropDuplicates(["spin of it"]), name)
+    spins = sorted(chosen.select("spin of it").toArrow().column(0).to_pylist())
+    return (chosen.where(F.col("spin of it") <= spins[size - 1]) if len(spins) > size else chosen).drop("spin of it")
+
+
+def below(part: int, whole: int) -> int:
+    """The 64-bit number that part of whole (part < whole) of all numbers lie under, exact for any counts."""
+    return -(1 << 63) + (part << 64) // whole
 
 
 _shipped: set[str] = set()
