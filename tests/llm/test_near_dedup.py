@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.llm import components, near_dedup
 
@@ -57,6 +58,35 @@ def test_against_brute_force(spark, monkeypatch, percent, sets):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_a_groups_blocks_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "GROUP_SETS", 4)
+    tasks, confirm = [], near_dedup._inside
+
+    def counted(blocks, percent):
+        tasks.append(confirm(blocks, percent).select(F.spark_partition_id().alias("task")).distinct().count())
+        return confirm(blocks, percent)
+
+    monkeypatch.setattr(near_dedup, "_inside", counted)
+    rng = random.Random(3)
+    text = [str(rng.random()) for _ in range(400)]
+    docs = [(i, " ".join(text[:i] + ["x"] + text[i + 1 :])) for i in range(200)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 85).collect()
+        assert {r.component_id for r in got} == {0}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks[0] >= 6
+
+
+def test_sets_are_named_by_more_than_64_bits():
+    a, b = np.arange(5, dtype=np.uint64), np.arange(6, dtype=np.uint64)
+    one, same, other, none = near_dedup.names([a, a.copy(), b, a[:0]]).to_pylist()
+    assert one == same != other and none == 0 and one > 1 << 64
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_bands_miss_as_seldom_as_stated(percent):
     bands = near_dedup.bands_for(percent / 100)

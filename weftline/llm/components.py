@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.runtime import settle
+from weftline.llm.runtime import release, settle
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -24,13 +24,15 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): root is the least node reachable from node; roots themselves have no row.
 
     ``edges`` has two columns u and v of one ordered type. The number of rows never grows, each
-    round is written to the shared folder, and the rounds go as the logarithm of the longest path.
+    round is written to the shared folder in place of the last, and the rounds go as the logarithm of the
+    longest path.
     """
     now = settle(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     held = mark(now)
     while held[0]:
-        now = settle(_small_star(_large_star(now)), "edges")
+        now, before = settle(_small_star(_large_star(now)), "edges"), now
+        release(before)
         if (new := mark(now)) == held:
             break
         held = new

@@ -7,12 +7,13 @@
 2. Band keys are hashes of ``BAND`` registers that no other band has, of a longer sketch made for
    them alone. So bands agree independently of one another, and there are as many as make the chance
    to miss a pair at the threshold less than ``MISS``. Texts with equal sets have equal bands and are one
-   class. In every bucket each class is tied to the bucket's least class: rows as many as members,
+   class, named by ``NAME_BITS`` bits of its set. In every bucket each class is tied to the bucket's least class: rows as many as members,
    never pairs. The components of these ties are the candidate groups.
 3. A candidate group is taken apart into linked components by exact set comparison. Groups beyond
    ``GROUP_BYTES`` or ``GROUP_SETS`` are cut into blocks. Blocks are linked inside first, then
    through one central set of each. Only sets outside a group's largest component so far are still
-   compared with the whole group, block by block: what is already connected needs no more links. A
+   compared with the whole group, block by block: what is already connected needs no more links. Blocks
+   are dealt by group and block, so a large group's are spread over tasks. A
    pair is compared only if the two are not yet connected and the joint likelihood of their
    registers doesn't rule the threshold out; one pass over the postings of a set's shingles
    compares it with all others of the block.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.llm.components import components
-from weftline.llm.runtime import settle, small_batches
+from weftline.llm.runtime import release, settle, small_batches
 from weftline.llm.words import WHITESPACE, mix, word_hashes
 
 REGISTERS = 128
@@ -47,8 +48,12 @@ TOP = (1 << 16) - 1
 BAND = 8
 MISS = 1e-6
 GROUP_BYTES = 8 << 20
-GROUP_SETS = 1024
+GROUP_SETS = 256
 HOT = 4096
+#: A class's name, as a decimal: at 1e11 sets two are named alike with a chance of 1e-16.
+NAME_BITS = 126
+_NAME = "decimal(38,0)"
+_ARROW_NAME = pa.decimal128(38, 0)
 #: Twice the log of the likelihood ratio beyond which a pair is ruled out (a normal deviate of 7).
 RULED_OUT = 49.0
 
@@ -182,10 +187,10 @@ def linked(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray, right
 
 
 def sketched(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """id, n (set size), h1 and h2 (128 bits that name the set) and the band keys of every row."""
+    """id, n (set size), h (the name of the set) and the band keys of every row."""
     bands = bands_for(percent / 100)
     factors, shifts = band_hashes(bands)
-    out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("h", T.DecimalType(38, 0)), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,53 +199,65 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
             keys = band_keys(np.stack([registers(sets[i], factors, shifts) for i in full]), bands) if full else np.zeros((0, len(bands)), np.int64)
             ends = np.zeros(len(sets) + 1, np.int32)
             ends[1:][full] = len(bands)
-            names = [name(s) for s in sets]
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), lists], out.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), names(sets), lists], out.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, out)
 
 
-def name(members: np.ndarray) -> tuple[int, int]:
-    """128 bits that tell equal sets from others."""
-    if not len(members):
-        return 0, 0
-    a = mix(np.array([mix(members).sum(dtype=np.uint64) + _U(len(members))]))
-    b = mix(np.array([mix(members ^ _U(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64)]))
-    return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
+def names(sets: list[np.ndarray]) -> pa.Array:
+    """The names of sets, equal for equal sets alone."""
+    out = np.zeros((len(sets), 2), np.uint64)
+    for i, s in enumerate(sets):
+        if len(s):
+            out[i] = mix(np.array([mix(s).sum(dtype=np.uint64) + _U(len(s)), mix(s ^ _U(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64)]))
+    out[:, 1] &= _U((1 << (NAME_BITS - 64)) - 1)
+    return pa.Array.from_buffers(_ARROW_NAME, len(sets), [None, pa.py_buffer(out.tobytes())])
+
+
+#: A candidate's group, name and size, the number of the group's blocks, and its own block.
+_PLACE = ("root", "h", "n", "parts", "own")
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """``rows`` (root, h, n, ...) of groups of two at least, with their blocks. Done on narrow rows: no set is dealt by its group."""
+    sizes = rows.groupBy("root").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("total") * 8 / F.lit(GROUP_BYTES)), F.ceil(F.col("sets") / F.lit(GROUP_SETS)))
+    # Always fewer blocks than sets.
+    sizes = sizes.select("root", F.least(parts, F.ceil(F.col("sets") / F.lit(2))).cast("int").alias("parts"))
+    return rows.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("h"), F.col("parts")).cast("int"))
 
 
 def _candidate_sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(root, h1, sketch, members) of the chosen classes, made again from their texts."""
+    """The chosen classes with sketch and members, made again from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column("text").to_pylist(), words)
-            rows = [(r, a, registers(s).tobytes(), len(s), s.tobytes()) for r, a, b, s in zip(batch.column("root").to_pylist(), batch.column("h1").to_pylist(), batch.column("h2").to_pylist(), sets, strict=True) if name(s) == (a, b)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()))], ["root", "h1", "sketch", "n", "members"])
+            # A repeated id may stand for another text too.
+            same = [i for i, (a, b) in enumerate(zip(batch.column("h").to_pylist(), names(sets).to_pylist(), strict=True)) if a == b]
+            own = batch.take(pa.array(same, pa.int64()))
+            sets = [sets[i] for i in same]
+            columns = [*(own.column(c) for c in _PLACE), pa.array([registers(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*_PLACE, "sketch", "members"])
 
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     # The same plan at every size: texts are dealt by id once, and no list of ids is broadcast.
-    both = texts.join(chosen.hint("merge"), F.col("doc").eqNullSafe(F.col("id"))).select("root", "h1", "h2", "text")
-    return both.mapInArrow(run, "root bigint, h1 bigint, sketch binary, n bigint, members binary").dropDuplicates(["h1"])
-
-
-_LINKS = "u bigint, v bigint"
+    both = texts.join(chosen.hint("merge"), F.col("doc").eqNullSafe(F.col("id"))).select(*_PLACE, "text")
+    return both.mapInArrow(run, f"root {_NAME}, h {_NAME}, n bigint, parts int, own int, sketch binary, members binary").dropDuplicates(["h"])
 
 
-def _parts(total, sets):
-    """How many blocks hold so many shingles of so many sets: always fewer than sets."""
-    return F.least(F.greatest(F.lit(1), F.ceil(total * 8 / F.lit(GROUP_BYTES)), F.ceil(sets / F.lit(GROUP_SETS))), F.ceil(sets / F.lit(2))).cast("int")
+_LINKS = f"u {_NAME}, v {_NAME}"
 
 
 def _loaded(group: pa.Table) -> tuple[list[int], list[np.ndarray], np.ndarray, np.ndarray]:
-    """Names, sets and sketches of a task's rows, and their order by likeness to the commonest registers.
+    """Names, sets and sketches of a block's rows, and their order by likeness to the commonest registers.
 
     The largest reach goes first: a text that all copies stem from then ties them in one step.
     """
     sets = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
     sketches = np.stack([np.frombuffer(x, np.uint16) for x in group.column("sketch").to_pylist()])
-    return group.column("h1").to_pylist(), sets, sketches, np.argsort(-(sketches == _mode(sketches)).sum(axis=1), kind="stable")
+    return group.column("h").to_pylist(), sets, sketches, np.argsort(-(sketches == _mode(sketches)).sum(axis=1), kind="stable")
 
 
 def _inside(blocks: DataFrame, percent: int) -> DataFrame:
@@ -249,23 +266,25 @@ def _inside(blocks: DataFrame, percent: int) -> DataFrame:
     def link(group: pa.Table) -> pa.Table:
         ids, sets, sketches, centre = _loaded(group.combine_chunks())
         edges = linked(sets, sketches, centre, centre, percent)
-        return pa.table({"u": pa.array([ids[a] for a, _ in edges] + [ids[centre[0]]], pa.int64()), "v": pa.array([ids[b] for _, b in edges] + [None], pa.int64())})
+        return pa.table({"u": pa.array([ids[a] for a, _ in edges] + [ids[centre[0]]], _ARROW_NAME), "v": pa.array([ids[b] for _, b in edges] + [None], _ARROW_NAME)})
 
-    return blocks.select("root", "own", "h1", "sketch", "members").groupBy("root", "own").applyInArrow(link, _LINKS)
+    # An exchange of its own: a join on root before would hold for the grouping, and a group's blocks would meet in one task.
+    return blocks.select("root", "own", "h", "sketch", "members").repartition("root", "own").groupBy("root", "own").applyInArrow(link, _LINKS)
 
 
 def _across(blocks: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """(u, v): further links of the groups, given ``links``: sets outside a group's largest component against the whole group."""
     now = components(links)
-    known = blocks.select("root", "h1", "n").join(now.select("node", F.col("root").alias("top")), F.col("h1") == F.col("node"), "left").select("root", "h1", "n", F.coalesce("top", "h1").alias("known"))
+    known = blocks.select("root", "h", "n").join(now.select("node", F.col("root").alias("top")), F.col("h") == F.col("node"), "left").select("root", "h", "n", F.coalesce("top", "h").alias("known"))
     known = settle(known, "known")
     main = known.groupBy("root", "known").agg(F.count(F.lit(1)).alias("sets")).groupBy("root").agg(F.max_by("known", F.struct("sets", "known")).alias("main"))
-    rest = settle(known.join(main, "root").where("known <> main").select("root", "h1", "n"), "rest")
-    shares = rest.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") * 8 / F.lit(GROUP_BYTES)), F.ceil(F.count(F.lit(1)) / F.lit(GROUP_SETS))).cast("int").alias("rests"))
-    whole = blocks.join(known.select("h1", "known"), "h1").join(shares, "root")
-    cell = F.pmod(F.xxhash64("h1", F.lit(1)), F.col("rests")).cast("int")
-    columns = ["root", "h1", "sketch", "members", "known"]
-    left = whole.join(rest.select("h1"), "h1", "left_semi").select(*columns, cell.alias("rest"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("own"), F.lit(True).alias("asks"))
+    known = settle(known.join(main, "root").select("root", "h", "n", "known", (F.col("known") != F.col("main")).alias("asks")), "asked")
+    rests = F.greatest(F.lit(1), F.ceil(F.sum("n") * 8 / F.lit(GROUP_BYTES)), F.ceil(F.count(F.lit(1)) / F.lit(GROUP_SETS))).cast("int")
+    shares = known.where("asks").groupBy("root").agg(rests.alias("rests"))
+    whole = blocks.join(settle(known.join(shares, "root").select("h", "known", "asks", "rests"), "shares"), "h")
+    cell = F.pmod(F.xxhash64("h", F.lit(1)), F.col("rests")).cast("int")
+    columns = ["root", "h", "sketch", "members", "known"]
+    left = whole.where("asks").select(*columns, cell.alias("rest"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("own"), F.lit(True).alias("asks"))
     right = whole.select(*columns, F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("rest"), "own", F.lit(False).alias("asks"))
 
     def link(group: pa.Table) -> pa.Table:
@@ -273,24 +292,23 @@ def _across(blocks: DataFrame, links: DataFrame, percent: int) -> DataFrame:
         ids, sets, sketches, centre = _loaded(group)
         asks = np.array(group.column("asks").to_pylist(), bool)[centre]
         edges = linked(sets, sketches, centre[asks], centre[~asks], percent, group.column("known").to_pylist()) if asks.any() and not asks.all() else []
-        return pa.table({"u": pa.array([ids[a] for a, _ in edges], pa.int64()), "v": pa.array([ids[b] for _, b in edges], pa.int64())})
+        return pa.table({"u": pa.array([ids[a] for a, _ in edges], _ARROW_NAME), "v": pa.array([ids[b] for _, b in edges], _ARROW_NAME)})
 
-    return left.union(right.select(left.columns)).groupBy("root", "rest", "own").applyInArrow(link, _LINKS)
+    return left.union(right.select(left.columns)).repartition("root", "rest", "own").groupBy("root", "rest", "own").applyInArrow(link, _LINKS)
 
 
-def _confirm(candidates: DataFrame, percent: int) -> DataFrame:
-    """(u, v): spanning links of every candidate group."""
-    sizes = candidates.groupBy("root").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sets"))
-    sizes = sizes.where("sets > 1").select("root", _parts(F.col("total"), F.col("sets")).alias("parts"))
-    blocks = candidates.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("h1"), F.col("parts")).cast("int"))
+def _confirm(blocks: DataFrame, percent: int) -> DataFrame:
+    """(u, v): spanning links of every candidate group, given its placed sets."""
     inside = settle(_inside(blocks, percent), "links-inside")
     links = inside.where("v IS NOT NULL")
     large = blocks.where("parts > 1")
-    centres = settle(large.select(candidates.columns).join(inside.where("v IS NULL").select(F.col("u").alias("h1")), "h1", "left_semi"), "centres")
+    centres = large.select("root", "h", "n").join(inside.where("v IS NULL").select(F.col("u").alias("h")), "h", "left_semi")
+    centres = settle(_placed(centres), "centres")
     # Each round has fewer sets than the last, as a group has fewer blocks than sets.
     if centres.isEmpty():
         return links
-    links = settle(links.union(_confirm(centres.select(candidates.columns), percent)), "links-so-far")
+    central = settle(large.select("h", "sketch", "members").join(centres, "h").select(*_PLACE, "sketch", "members"), "central-sets")
+    links = settle(links.union(_confirm(central, percent)), "links-so-far")
     return links.union(_across(large, links, percent))
 
 
@@ -308,27 +326,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, *, id_co
     small_batches(docs.sparkSession)
     rows = settle(sketched(docs, id_col, text_col, words, percent), "sketches")
     # One row for each distinct set, whatever the number of its copies.
-    classes = rows.where("n > 0").groupBy("h1").agg(F.min("id").alias("id"), F.min("h2").alias("h2"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+    classes = rows.where("n > 0").groupBy("h").agg(F.first("n").alias("n"), F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
     classes = settle(classes, "classes")
-    keys = classes.select("h1", F.explode("bands").alias("key"))
-    buckets = settle(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("key", "low"), "buckets")
-    ties = keys.join(buckets, "key").select(F.col("h1").alias("u"), F.col("low").alias("v"))
+    keys = classes.select("h", F.explode("bands").alias("key"))
+    buckets = settle(keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key", "low"), "buckets")
+    ties = keys.join(buckets, "key").select(F.col("h").alias("u"), F.col("low").alias("v"))
     groups = components(ties)
     groups = settle(groups.union(groups.select("root", "root").distinct()), "groups")
-    chosen = settle(classes.select("h1", "h2", "id").join(groups, F.col("h1") == F.col("node")).select("root", "h1", "h2", "id"), "chosen")
+    release(buckets)
+    chosen = settle(_placed(classes.select("h", "n", "id").join(groups, F.col("h") == F.col("node")).select("root", "h", "n", "id")), "chosen")
     candidates = settle(_candidate_sets(docs, chosen, id_col, text_col, words), "candidate-sets")
     links = settle(_confirm(candidates, percent), "links")
+    release(candidates)
     joined = components(links)
-    owned = classes.select("h1", "id", "copies").join(joined, F.col("h1") == F.col("node"), "left").select("h1", "id", "copies", F.coalesce("root", "h1").alias("own"))
+    owned = classes.select("h", "id", "copies").join(joined, F.col("h") == F.col("node"), "left").select("h", "id", "copies", F.coalesce("root", "h").alias("own"))
     owned = settle(owned, "owned")
     least = owned.groupBy("own").agg(F.min("id").alias("least"))
-    places = settle(owned.join(least, "own").select("h1", "copies", "least"), "places")
-    full = rows.where("n > 0").select("id", "n", "h1")
+    places = settle(owned.join(least, "own").select("h", "copies", "least"), "places")
+    full = rows.where("n > 0").select("id", "n", "h")
     hot = places.where(F.col("copies") * HOT >= (places.agg(F.sum("copies")).first()[0] or 0))
     # At most HOT rows, by what hot means.
-    hot = F.broadcast(settle(hot.select("h1", "least"), "hot"))
-    out = full.join(hot, "h1").select("id", "n", "least")
-    cold = full.join(hot, "h1", "left_anti").join(places.select("h1", "least"), "h1").select("id", "n", "least")
+    hot = F.broadcast(settle(hot.select("h", "least"), "hot"))
+    out = full.join(hot, "h").select("id", "n", "least")
+    cold = full.join(hot, "h", "left_anti").join(places.select("h", "least"), "h").select("id", "n", "least")
     blank = rows.where("n = 0").select("id", "n", F.col("id").alias("least"))
     out = out.union(cold).union(blank)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), F.coalesce(F.col("id") == F.col("least"), F.lit(False)).alias("kept"))
