@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.llm import boosting, decontamination, language_id, pii, toxicity
+from weftline.llm import boosting, decontamination, language_id, pii, runtime, toxicity
 from weftline.llm.runtime import table
 
 SF = "/root/testdata/sf0.01"
@@ -19,15 +19,15 @@ def test_viterbi_is_the_best_path():
     sizes = [0, 1, 3, 6, 0, 5]
     ends = np.concatenate([[0], np.cumsum(sizes)])
     scores = rng.normal(size=(ends[-1], 3)).astype(np.float32) * 3
-    for step in (2, 64):
-        language_id.STEP = step
+    for step, few in ((2, 16), (64, 16), (64, 2)):
+        language_id.STEP, language_id.FEW = step, few
         got = language_id.viterbi(scores, ends, 2.0)
         value = lambda s, path: sum(s[i, p] for i, p in enumerate(path)) - 2.0 * sum(a != b for a, b in itertools.pairwise(path))
         for a, b in itertools.pairwise(ends):
             if b > a:
                 best = max(value(scores[a:b], p) for p in itertools.product(range(3), repeat=b - a))
                 assert value(scores[a:b], got[a:b]) == pytest.approx(best, abs=1e-4)
-    language_id.STEP = 64
+    language_id.STEP, language_id.FEW = 64, 16
 
 
 def test_languages(spark, odd, none):
@@ -51,6 +51,30 @@ def test_all_with_a_letter_are_accepted_without_a_model(odd):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 4
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "CELLS", 1 << 18)
+    rng = np.random.default_rng(0)
+    texts = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, texts[i % 300], f"l{i % 300}") for i in range(1800)], "doc_id bigint, text string, lang string")
+    model = language_id.learn(docs)
+    assert len(model.languages) == 300 and model.table.size <= 1 << 18
+    rows = language_id.identify(docs, model, keep=("lang",)).collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.9
+    assert len(language_id.learn(docs, languages=7).languages) == 7
+
+
+def test_samples_are_bounded_and_never_empty(spark):
+    assert runtime.below(3000, 10**13) > -(1 << 63) and runtime.below(1, 2) == 0
+    rows = spark.createDataFrame([(None if i % 2 else 1, f"text {i % 500}", "a" if i % 3 else None) for i in range(6000)], "id bigint, text string, g string")
+    assert rows.distinct().count() == 1000
+    assert runtime.bounded_sample(rows, 40, 1, "t").count() == 40
+    by = {r.g: r["count"] for r in runtime.bounded_sample(rows, 40, 1, "t", "g").groupBy("g").count().collect()}
+    assert by == {"a": 40, None: 40}
+    # A row that makes up all of a table is sampled once.
+    assert runtime.bounded_sample(rows.limit(1).crossJoin(spark.range(1000).select()), 9, 1, "t").count() <= 1
+    assert runtime.bounded_sample(rows, 10**6, 1, "t").count() == rows.distinct().count()
+
+
 def test_scripts_narrow_candidates(spark):
     rows = [(i, "красная книга дома " * 5 if i % 2 else "red book of houses " * 5, "ru" if i % 2 else "en") for i in range(40)]
     model = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))

@@ -1,14 +1,17 @@
 """Language identification: script ranges, per-word scores, and Viterbi over the words.
 
 Byte n-grams of words, with their ends marked, are counted for each language in a bounded sample
-of labelled texts (``SAMPLE`` a language, in expectation). A word's score for a language is the
+of labelled texts (``SAMPLE`` a language at most, by a hash of the row). All values of lang are learned, up to
+the ``LANGUAGES`` commonest (a parameter, ``languages``); the table of n-grams has ``CELLS`` cells at most, with
+fewer buckets the more languages there are. A word's score for a language is the
 sum of its n-grams' log probabilities, against the mean of the languages that the word's script
 leaves; a script is open to a language that writes at least ``SCRIPT_SHARE`` of its words in it. A
 Viterbi path with a penalty for each switch labels every word, so mixed texts fall into spans. The
 text's language is the one whose spans hold most letters, and the score is their share.
 
 Viterbi runs in lock step over blocks of ``STEP`` words: transfer matrices of all blocks at once,
-then the blocks of each text in order, then the paths inside all blocks at once.
+then the blocks of each text in order, then the paths inside all blocks at once. With more than
+``FEW`` languages, for which such matrices are large, it goes word by word over all texts at once.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for every text
 if nothing could be learned; rows with null or repeated ids are predicted like others, and rows
@@ -28,12 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.runtime import small_batches
+from weftline.llm.runtime import bounded_sample, small_batches
 from weftline.llm.words import PUNCTUATION, Words, blocks, mix
 
 SAMPLE = 1500
-LANGUAGES = 256
+LANGUAGES = 4096
 BUCKETS = 1 << 16
+CELLS = 1 << 25
+FEW = 16
 ORDERS = (1, 2, 3, 4, 5)
 #: n-grams of several orders overlap; a word's summed evidence counts this much.
 SCALE = 0.35
@@ -112,7 +117,8 @@ class Model:
     def word_scores(self, d: Distinct) -> np.ndarray:
         """(distinct words x languages)."""
         n = len(d.letters)
-        raw = np.stack([np.bincount(d.word, weights=self.table[d.buckets, k], minlength=n) for k in range(len(self.languages))], axis=1) * SCALE
+        buckets = d.buckets & (len(self.table) - 1)
+        raw = np.stack([np.bincount(d.word, weights=self.table[buckets, k], minlength=n) for k in range(len(self.languages))], axis=1) * SCALE
         open_ = self.allowed[d.script]
         some = open_.any(axis=1)
         mean = np.where(open_, raw, 0).sum(axis=1) / np.maximum(open_.sum(axis=1), 1)
@@ -126,6 +132,8 @@ def viterbi(scores: np.ndarray, ends: np.ndarray, penalty: float = SWITCH) -> np
     n_labels = scores.shape[1]
     if n_labels == 1 or not len(scores):
         return np.zeros(len(scores), np.int64)
+    if n_labels > FEW:
+        return _word_by_word(scores, ends, penalty)
     sizes = np.diff(ends)
     per_text = -(-sizes // STEP)
     total = int(per_text.sum())
@@ -178,22 +186,47 @@ def viterbi(scores: np.ndarray, ends: np.ndarray, penalty: float = SWITCH) -> np
     return labels[real]
 
 
+def _word_by_word(scores: np.ndarray, ends: np.ndarray, penalty: float) -> np.ndarray:
+    """As ``viterbi``, for any number of labels: the next word of all texts at once."""
+    sizes, n_labels = np.diff(ends), scores.shape[1]
+    order = np.argsort(-sizes, kind="stable")
+    live = np.searchsorted(-sizes[order], -np.arange(1, int(sizes.max(initial=0)) + 1), side="right")
+    value = np.zeros((len(sizes), n_labels))
+    stay, which = np.zeros((len(scores), -(-n_labels // 8)), np.uint8), np.zeros(len(scores), np.int32)
+    for t, n in enumerate(live):
+        texts = order[:n]
+        at, now = ends[texts] + t, value[texts]
+        most, kept = now.max(axis=1) - penalty, now >= now.max(axis=1, keepdims=True) - penalty
+        which[at], stay[at] = now.argmax(axis=1), np.packbits(kept, axis=1)
+        value[texts] = np.where(kept, now, most[:, None]) + scores[at]
+    labels, state = np.zeros(len(scores), np.int64), value.argmax(axis=1)
+    for t in range(len(live) - 1, -1, -1):
+        texts = order[: live[t]]
+        at, now = ends[texts] + t, state[texts]
+        labels[at] = now
+        state[texts] = np.where(stay[at, now >> 3] >> (7 - (now & 7)) & 1, now, which[at])
+    return labels
+
+
 def _words(texts: list[str]) -> Iterator[Words]:
     return blocks([t.lower() for t in texts], PUNCTUATION)
 
 
-def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model | None:
+def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> Model | None:
     """A model of the languages of the rows that aren't held out; None if there are none."""
     small_batches(docs.sparkSession)
     known = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = known.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages + 1).collect()
     if not counts:
         return None
-    languages = sorted(r.lang for r in counts)
-    share = {r.lang: min(1.0, sample / r.n) for r in counts}
-    spin = F.pmod(F.xxhash64(F.col(id_col), F.lit(8)), F.lit(1 << 20))
-    bounds = F.create_map(*(F.lit(x) for lang, part in share.items() for x in (lang, int(part * (1 << 20)))))
-    chosen = known.where(spin < F.coalesce(F.try_element_at(bounds, F.col(lang_col)), F.lit(0))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    names = sorted(r.lang for r in counts[:languages])
+    if len(counts) > languages:
+        known = known.where(F.array_contains(F.lit(names), F.col("lang")))
+    size = BUCKETS
+    while size * len(names) > CELLS:
+        size //= 2
+    chosen = bounded_sample(known, sample, 8, "language-sample", "lang").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
@@ -206,25 +239,28 @@ def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
                     if len(block.hashes):
                         d = distinct(block)
                         times = np.bincount(d.inverse, minlength=len(d.letters)) * (d.letters > 0)
-                        grams[lang] = grams.get(lang, 0) + np.bincount(d.buckets, weights=times[d.word], minlength=BUCKETS)
+                        grams[lang] = grams.get(lang, 0) + np.bincount(d.buckets & (size - 1), weights=times[d.word], minlength=size)
                         scripts[lang] = scripts.get(lang, 0) + np.bincount(d.script, weights=times, minlength=SCRIPTS)
         for lang, seen in grams.items():
             cells = np.concatenate([seen, scripts[lang]])
             full = np.flatnonzero(cells)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(full), pa.string()), pa.array(full, pa.int32()), pa.array(cells[full].astype(np.int64), pa.int64())], ["lang", "cell", "n"])
 
-    # At most LANGUAGES * (BUCKETS + SCRIPTS) cells, whatever the input.
+    # At most CELLS cells and the scripts', whatever the input.
     cells = chosen.mapInArrow(count, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
-    table, scripts = np.zeros((BUCKETS, len(languages))), np.zeros((SCRIPTS, len(languages)))
-    place = {k: i for i, k in enumerate(languages)}
+    table, scripts = np.zeros((size, len(names)), np.float32), np.zeros((SCRIPTS, len(names)))
+    place = {k: i for i, k in enumerate(names)}
     column = np.array([place[k] for k in cells.column("lang").to_pylist()], np.int64)
     cell, n = cells.column("cell").to_numpy(), cells.column("n").to_numpy()
-    gram = cell < BUCKETS
+    gram = cell < size
     table[cell[gram], column[gram]] = n[gram]
-    scripts[cell[~gram] - BUCKETS, column[~gram]] = n[~gram]
+    scripts[cell[~gram] - size, column[~gram]] = n[~gram]
     # Every order of n-grams has about as many occurrences, so one total serves all.
-    table = np.log(table + 0.5) - np.log(table.sum(axis=0) + 0.5 * BUCKETS)
-    return Model(languages, table, scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1))
+    total = table.sum(axis=0, dtype=np.float64) + 0.5 * size
+    table += np.float32(0.5)
+    np.log(table, out=table)
+    table -= np.log(total).astype(np.float32)
+    return Model(names, table, scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1))
 
 
 def label(texts: list[str | None], model: Model | None) -> Iterator[tuple[str, float, list[tuple[int, int, str]]]]:

@@ -71,19 +71,26 @@ def release(df: DataFrame) -> None:
     _remove(df._settled_at)
 
 
-def bounded_sample(rows: DataFrame, size: int, seed: int, name: str) -> DataFrame:
-    """At most ``size`` of the rows that differ, those of the least 64-bit hashes of all columns, written once.
+def bounded_sample(rows: DataFrame, size: int, seed: int, name: str, by: str | None = None) -> DataFrame:
+    """At most ``size`` of the rows that differ (of each value of ``by``), those of the least 64-bit hashes of all columns.
 
     A first cut by the share of hashes leaves about twice the size, and equal rows become one, so that
-    neither null nor repeated ids bring more; of the hashes left the driver sees that many.
+    neither null nor repeated ids bring more; it is written once. The exact cut compares hashes alone.
     """
-    n = rows.count()
-    dealt = rows.withColumn("spin of it", F.xxhash64(*rows.columns, F.lit(seed)))
-    if n > 2 * size:
-        dealt = dealt.where(F.col("spin of it") < below(2 * size, n))
-    chosen = settle(dealt.dropDuplicates(["spin of it"]), name)
-    spins = sorted(chosen.select("spin of it").toArrow().column(0).to_pylist())
-    return (chosen.where(F.col("spin of it") <= spins[size - 1]) if len(spins) > size else chosen).drop("spin of it")
+    spin, group = F.col("spin of it"), F.col("group of it")
+    dealt = rows.withColumns({"spin of it": F.xxhash64(*rows.columns, F.lit(seed)), "group of it": F.lit("") if by is None else F.col(by).cast("string")})
+    # One row a group; how many rows differ, within a few percent.
+    counts = {r[0]: r[1] for r in dealt.groupBy(group).agg(F.approx_count_distinct(spin)).collect()}
+    bounds = {g: below(2 * size, n) for g, n in counts.items() if n > 2 * size}
+    for held in bounds, None:
+        if bounds:
+            cut = F.try_element_at(F.create_map(*(F.lit(x) for pair in bounds.items() for x in pair)), F.coalesce(group, F.lit("")))
+            dealt = dealt.where(cut.isNull() | (spin < cut))
+        if held is not None:
+            dealt = settle(dealt.dropDuplicates(["spin of it", "group of it"]), name)
+            ranked = dealt.groupBy(group).agg(F.try_element_at(F.sort_array(F.collect_list(spin)), F.lit(size + 1)).alias("cut"))
+            bounds = {r[0]: r[1] for r in ranked.collect() if r[1] is not None}
+    return dealt.drop("spin of it", "group of it")
 
 
 def below(part: int, whole: int) -> int:

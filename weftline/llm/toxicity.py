@@ -5,9 +5,10 @@ words of the second person, rates of capitals, punctuation and obfuscation. The
 short fixed part and a part learned from labels: words and beginnings of 4 to 7 bytes that stand
 in many more toxic than other texts.
 
-Labels are learned from a bounded sample of the rows outside the held-out fold: ``POSITIVE`` and
-``NEGATIVE`` rows in expectation, weighted back to their true shares, and dealt into three parts,
-one each for the lexicon, the trees and the calibration. All rows are scored.
+Labels are learned from a bounded sample of the rows outside the held-out fold: the texts of at most
+``POSITIVE`` and ``NEGATIVE`` ids, as many texts in all, weighted back to their true shares, and dealt into
+three parts, one each for the lexicon (its ``LEXICON`` strongest keys), the trees and the calibration.
+All rows are scored.
 
 Defined results: a null text is an empty one and gets the score of its features (all zero); with no
 labels of both kinds every score is 0; rows with null ids are scored and never learned from; of
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from weftline.llm import boosting
 from weftline.llm.language_id import held_out
-from weftline.llm.runtime import settle, small_batches
+from weftline.llm.runtime import bounded_sample, settle, small_batches
 from weftline.llm.words import PUNCTUATION, Words, blocks, hash_of
 
 POSITIVE = 4000
@@ -158,10 +159,12 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     if len(counts) < 2:
         return Model(Lexicon(np.zeros(0, np.uint64), np.zeros(0)), None)
     share = {1: min(1.0, positive / counts[1]), 0: min(1.0, negative / counts[0])}
-    spin = F.pmod(F.xxhash64("id", F.lit(4)), F.lit(1 << 20))
-    # About positive + negative rows, whatever the input.
-    chosen = known.where(spin < F.when(F.col("y") == 1, int(share[1] * (1 << 20))).otherwise(int(share[0] * (1 << 20)))).withColumn("part", F.pmod(F.xxhash64("id", F.lit(44)), F.lit(10)).cast("int"))
-    sample = settle(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("y", "part", "text"), "toxic-sample")
+    # One row for each id; at most positive + negative of them.
+    chosen = [bounded_sample(known.where(F.col("y") == y), size, 4, "toxic-ids") for y, size in ((1, positive), (0, negative))]
+    chosen = chosen[0].union(chosen[1]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(44)), F.lit(10)).cast("int"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    # An id may stand for many rows.
+    sample = bounded_sample(settle(texts, "toxic-texts"), positive + negative, 5, "toxic-sample").select("y", "part", "text")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
