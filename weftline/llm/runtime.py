@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Rows of text in one Arrow batch: some 100 KB documents still make a batch of tens of MB.
 ARROW_ROWS = 256
+#: And bytes in one: a batch ends with the row that goes beyond.
+ARROW_BYTES = 32 << 20
 
 _scratch: set[str] = set()
 
@@ -78,13 +80,13 @@ def bounded_sample(rows: DataFrame, size: int, seed: int, name: str, by: str | N
     neither null nor repeated ids bring more; it is written once. The exact cut compares hashes alone.
     """
     spin, group = F.col("spin of it"), F.col("group of it")
-    dealt = rows.withColumns({"spin of it": F.xxhash64(*rows.columns, F.lit(seed)), "group of it": F.lit("") if by is None else F.col(by).cast("string")})
+    dealt = rows.withColumns({"spin of it": F.xxhash64(*rows.columns, F.lit(seed)), "group of it": F.lit(0).cast("bigint") if by is None else F.xxhash64(by)})
     # One row a group; how many rows differ, within a few percent.
     counts = {r[0]: r[1] for r in dealt.groupBy(group).agg(F.approx_count_distinct(spin)).collect()}
     bounds = {g: below(2 * size, n) for g, n in counts.items() if n > 2 * size}
     for held in bounds, None:
         if bounds:
-            cut = F.try_element_at(F.create_map(*(F.lit(x) for pair in bounds.items() for x in pair)), F.coalesce(group, F.lit("")))
+            cut = F.try_element_at(F.create_map(*(F.lit(x) for pair in bounds.items() for x in pair)), group)
             dealt = dealt.where(cut.isNull() | (spin < cut))
         if held is not None:
             dealt = settle(dealt.dropDuplicates(["spin of it", "group of it"]), name)
@@ -116,8 +118,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Make ready for Python workers: ship the package and bound the rows of an Arrow batch, so that few long texts are held at once."""
+    """Make ready for Python workers: ship the package and bound an Arrow batch in rows and bytes, so that few long texts are held at once.
+
+    Spark reads these settings when a plan runs, so they stay; a caller's own tighter bounds are kept.
+    """
     ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "-1", str(2**31 - 1), f"{2**31 - 1}b"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
