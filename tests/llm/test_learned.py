@@ -147,17 +147,61 @@ def test_paraphrases_and_common_subsequences(spark):
     assert decontamination.common(a, b) == table_[-1, -1]
 
 
-def test_short_and_reworded_items_are_found(spark):
-    rng = np.random.default_rng(6)
+def planted_items(seed, least, most, n):
+    rng = np.random.default_rng(seed)
     word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 7))
-    fill = lambda n: [word() for _ in range(n)]
-    items = [fill(int(n)) for n in rng.integers(5, 60, 60)]
+    fill = lambda k: [word() for _ in range(k)]
+    items = [fill(int(k)) for k in rng.integers(least, most, n)]
     reworded = [[word() if i % 5 == 4 else w for i, w in enumerate(x)] for x in items]
     planted = [fill(int(rng.integers(0, 200))) + x + fill(int(rng.integers(40, 200))) for x in items + reworded]
-    rows = [(i, " ".join(x)) for i, x in enumerate([*planted, *(fill(200) for _ in range(20))])]
-    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    return items, [(i, " ".join(x)) for i, x in enumerate([*planted, *(fill(200) for _ in range(20))])]
+
+
+@pytest.mark.parametrize("passages", [4096, 8])
+def test_short_and_reworded_items_are_found(spark, monkeypatch, passages):
+    monkeypatch.setattr(decontamination, "PASSAGES", passages)
+    items, rows = planted_items(6, 3, 60, 60 if passages > 8 else 10)
+    bench = spark.createDataFrame([(f"item {i}" if i else None, " ".join(x)) for i, x in enumerate(items)], "item_id string, text string")
     got = {r.doc_id: [x.item for x in r["items"]] for r in decontamination.check(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
-    assert got == {i: [i % 60] if i < 120 else [] for i, _ in rows}
+    name = lambda i: f"item {i}" if i else None
+    expected = {i: [name(i % len(items))] if i < 2 * len(items) else [] for i, _ in rows}
+    assert got == expected
+
+
+def test_long_items_are_checked_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "PASSAGES", 4)
+    items, _ = planted_items(7, 300, 301, 1)
+    docs = spark.createDataFrame([(1, " ".join(items[0])), (2, " ".join(items[0][128:200])), (3, "x y z")], "doc_id bigint, text string")
+    got = {r.doc_id: [x.item for x in r["items"]] for r in decontamination.check(docs, spark.createDataFrame([(5, " ".join(items[0]))], "item_id bigint, text string")).collect()}
+    assert got == {1: [5], 2: [5], 3: []}
+
+
+def test_paraphrases_are_near_in_the_latent_space(spark):
+    """Words of a topic and their synonyms stand together in the corpus; paraphrases share few words with their item."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 7))
+    topics = [([word() for _ in range(20)], [word() for _ in range(20)]) for _ in range(24)]
+    answers = [" ".join(word() for _ in range(4)) for _ in topics]
+    items = [f"{' '.join(a)}. {x}" for (a, _), x in zip(topics, answers, strict=True)]
+    mixed = [" ".join(rng.permutation([p[int(rng.integers(2))] for p in zip(a, b, strict=True)])) for a, b in topics for _ in range(12)]
+    reworded = [[b[i] if i % 4 else a[i] for i in range(20)] for a, b in topics]
+    paraphrases = [f"{' '.join(x)}. {y}" for x, y in zip(reworded, answers, strict=True)]
+    texts = mixed + paraphrases + [" ".join(x) for x in reworded]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = {r.doc_id: [x.item for x in r["items"]] for r in decontamination.check(docs, bench).collect()}
+    n = len(mixed)
+    assert np.mean([rows[n + i] == [i] for i in range(24)]) >= 0.9
+    # Without the answer, or with the topic alone, a text is clean.
+    assert not any(rows[i] for i in range(n)) and not any(rows[n + 24 + i] for i in range(24))
+    # Plain TF-IDF puts no paraphrase near its item, nor do the first two rules of the check.
+    block = list(decontamination.items_of(enumerate(items)))
+    terms = decontamination.statistics(docs, decontamination.vocabulary(bench, "text"), "text")
+    for i, text in enumerate(paraphrases):
+        found, ends = decontamination._words([text])
+        both = [decontamination._rows(w, e, terms) for w, e in ((found, ends), (block[i].words, np.array([0, len(block[i].words)])))]
+        a, b = (np.bincount(c, v, minlength=len(terms.hashes) + decontamination.OTHERS) for _, c, v in both)
+        assert a @ b < 0.5 and decontamination.common(block[i].words, found) / len(block[i].words) < decontamination.ALIKE
 
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]

@@ -55,7 +55,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weftline.llm.decontamination import check
 
     rows = check(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    ids = F.array_join(F.transform("items", lambda x: x["item"].cast("string")), ",")
+    ids = F.array_join(F.transform("items", lambda x: x["item"].cast("string")), ",", "null")
     return rows.select("doc_id", "contaminated", F.size("items").cast("long").alias("n_items"), ids.alias("item_ids"), F.array_max(F.transform("items", lambda x: x["share"])).alias("best_share"))
 
 
