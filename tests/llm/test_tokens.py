@@ -1,10 +1,12 @@
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
 from weftline.llm import sentencepiece_codec, token_counts
 from weftline.llm.registry import tokenizer
+from weftline.llm.runtime import table
 
 ALPHABET = [*" \n\t\r\x0b\x0c\x1c\x1f\x85\xa0ab zé日1２½'\"<|>_-.,;　​▁😀ñß²ʼ\x00\x7f", "<|endoftext|>", "<s>", "</s>", "'s", "'ll", "  ", "▁▁"]
 
@@ -39,10 +41,21 @@ def test_count_tokens(spark, odd, none):
     assert token_counts.count_tokens(none, tokenizer("byte_bpe_50k.json")).count() == 0
 
 
-def test_frequent_words_count_all_texts(spark):
-    df = spark.createDataFrame([("the cat the dog",), ("the end",), (None,)], "text string")
-    got = {r.piece: r.n for r in token_counts.frequent_words(df.coalesce(1)).collect()}
-    assert got == {" the": 3}
+def test_frequent_pieces_count_all_texts(spark):
+    df = spark.createDataFrame([("the cat, the dog.",), ("the end. 12",), (None,), ("the 12",)], "text string")
+    got = {r.piece: r.n for r in token_counts.frequent_pieces(df.coalesce(1), tokenizer("byte_bpe_50k.json")).collect()}
+    assert got == {"the": 3, ".": 2, " 12": 2}
+
+
+def test_the_table_holds_most_pre_tokens(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    own = token_counts.encoder(tokenizer("byte_bpe_50k.json"))
+    held = token_counts.frequent_table(docs, tokenizer("byte_bpe_50k.json"))
+    pieces = [p for r in docs.collect() for part in own.parts(r.text or "")[0] for p in own.pieces(part)]
+    assert {".", ",", "\n"} <= set(held) and len(held) <= token_counts.TABLE_ROWS
+    # Half of the distinct pre-tokens of these invented texts occur once or twice; of those that occur ten times, all are there.
+    often = Counter(pieces)
+    assert sum(p in held for p in pieces) > 0.85 * len(pieces) and all(p in held for p, n in often.items() if n >= 10)
 
 
 def test_pieces_are_the_librarys():

@@ -2,7 +2,9 @@
 
 A token count is the sum of the lengths of a text's pre-tokens, as BPE merges never cross one.
 Tier 1 is a compact table of the corpus's frequent pre-tokens with their lengths, broadcast;
-it holds ``TABLE_ROWS`` entries at most, whatever the corpus holds. Tier 2 is a bounded cache in
+it holds ``TABLE_ROWS`` entries at most, whatever the corpus holds. All pre-tokens of all texts are counted
+for it where they are, as the tokenizer splits them (words with their space, first words, signs, digits,
+runs of white space); only the summaries of tasks are added up. Tier 2 is a bounded cache in
 each Python worker: a pre-token that both tiers miss is encoded once by the library and kept.
 Pre-tokens are never shuffled. The tiers change only the speed: any pre-token's length is the
 library's own.
@@ -25,10 +27,10 @@ from pyspark.sql import types as T
 
 from weftline.llm.runtime import small_batches
 
-TABLE_ROWS = 1 << 16
+TABLE_ROWS = 1 << 17
 CACHE_ROWS = 1 << 18
-#: A word goes into a task's summary if it has at least this share of the task's words.
-FREQUENT = 1 / (1 << 15)
+#: A pre-token goes into a task's summary if it has at least this share of the task's.
+FREQUENT = 1 / (1 << 19)
 _HELD = 1 << 17
 
 # Letters whose class no version of Unicode doubts; a text with any other non-ASCII character is
@@ -71,18 +73,19 @@ class Encoder:
             return _SPLIT.findall(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
+    def parts(self, text: str) -> tuple[list[str], int]:
+        """The text between added tokens, and how many of these stand in it."""
+        if self.between is None or self.between.search(text) is None:
+            return [text], 0
+        return [p for p in self.between.split(text) if p], len(self.between.findall(text))
+
     def count(self, texts: list[str], table: dict[str, int]) -> list[int]:
         if not self.plain:
             return self.lengths(texts)
         cache, out = self.cache, []
         for text in texts:
-            parts, total = [text], 0
-            if self.between is not None and self.between.search(text):
-                total = len(self.between.findall(text))
-                parts = self.between.split(text)
+            parts, total = self.parts(text)
             for part in parts:
-                if not part:
-                    continue
                 found = list(map(table.get, pieces := self.pieces(part)))
                 if None in found:
                     missed = [p for p, n in zip(pieces, found, strict=True) if n is None]
@@ -104,39 +107,46 @@ def encoder(path: str) -> Encoder:
     return _workers[path]
 
 
-def frequent_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(piece, n): the words that hold at least ``FREQUENT`` of a task's words, summed over all tasks.
+def frequent_pieces(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+    """(piece, n): the pre-tokens that hold at least ``FREQUENT`` of a task's, summed over all tasks.
 
-    Every text is counted. A task keeps a lossy count of at most ``_HELD`` words, so a word over
+    Every text is counted. A task keeps a lossy count of at most ``_HELD`` pre-tokens, so one over
     the share in the corpus is over it in some task and cannot be missed there.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(tokenizer)
         held: Counter[str] = Counter()
         seen = floor = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text:
-                    words = text.split(" ")
-                    seen += len(words)
-                    held.update(words)
+                for part in own.parts(text or "")[0]:
+                    pieces = own.pieces(part)
+                    seen += len(pieces)
+                    held.update(pieces)
             while len(held) > _HELD:
                 floor += 1
                 held = Counter({w: n for w, n in held.items() if n > floor})
-        rows = [(" " + w, n) for w, n in held.items() if n >= max(2, seen * FREQUENT) and w.isalpha()]
+        rows = [(w, n) for w, n in held.items() if n >= max(2, seen * FREQUENT)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["piece", "n"])
 
     return docs.select(text_col).mapInArrow(count, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
+def frequent_table(docs: DataFrame, tokenizer: str, text_col: str = "text") -> dict[str, int]:
+    """Tier 1: the lengths of the ``TABLE_ROWS`` commonest pre-tokens; empty for a tokenizer that isn't split in advance."""
+    here = encoder(tokenizer)
+    if not here.plain:
+        return {}
+    pieces = [r.piece for r in frequent_pieces(docs, tokenizer, text_col).orderBy(F.desc("n"), "piece").limit(TABLE_ROWS).collect()]
+    return dict(zip(pieces, here.lengths(pieces), strict=True))
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:
     """One row for each row of ``docs``: its id, n_bytes, n_tokens and over_limit (more than ``limit`` tokens)."""
     spark = docs.sparkSession
     small_batches(spark)
-    top = frequent_words(docs, text_col).orderBy(F.desc("n"), "piece").limit(TABLE_ROWS).collect()
-    here = encoder(tokenizer)
-    pieces = [r.piece for r in top]
-    table = spark.sparkContext.broadcast(dict(zip(pieces, here.lengths(pieces), strict=True)) if here.plain else {})
+    table = spark.sparkContext.broadcast(frequent_table(docs, tokenizer, text_col))
     out = T.StructType([docs.schema[id_col], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
