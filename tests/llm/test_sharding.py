@@ -1,17 +1,25 @@
+import random
 from collections import defaultdict
 
+import pytest
+
 from weftline.llm import sharding
 
 
-def test_longest_first_against_a_plain_search():
-    items = [(7, "a"), (5, "b"), (5, "c"), (4, "d"), (3, "e"), (1, "f")]
-    loads = [0, 0, 0]
-    expected = {}
-    for size, name in sorted(items, key=lambda x: (-x[0], x[1])):
-        s = loads.index(min(loads))
-        expected[name] = s
-        loads[s] += size
-    assert sharding.longest_first(items, 3) == expected
+@pytest.mark.parametrize("shards", [1, 3, 7])
+def test_longest_first_against_a_plain_search(shards):
+    rng = random.Random(shards)
+    for _ in range(40):
+        runs = [(size, rng.choice([1, 2, 5, 40, 300])) for size in rng.sample(range(1, 200), rng.randint(0, 12))]
+        loads, expected = [0] * shards, []
+        for size, n in sorted(runs, reverse=True):
+            got = [0] * shards
+            for _ in range(n):
+                s = loads.index(min(loads))
+                got[s] += 1
+                loads[s] += size
+            expected.append((size, got))
+        assert sharding.longest_first(runs, shards) == expected
 
 
 def _check(rows, shards):
@@ -22,22 +30,25 @@ def _check(rows, shards):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
-def test_groups_stay_together_and_slots_are_gapless(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, f"text {i % 37} " + "y" * (i % 37)) for i in range(500)], "doc_id bigint, text string")
-    for bundles in (sharding.BUNDLES, 20):
-        monkeypatch.setattr(sharding, "ITEMS", 10 if bundles == 20 else 1 << 15)
-        monkeypatch.setattr(sharding, "BUNDLES", bundles)
-        rows = sharding.shard_by_bytes(docs, 4).collect()
-        assert len(rows) == 500
-        _check(rows, 4)
-        of = defaultdict(set)
-        loads = defaultdict(int)
-        for r in rows:
-            of[r.doc_id % 37].add(r.shard)
-            loads[r.shard] += r.size
-        assert all(len(s) == 1 for s in of.values())
-        if bundles != 20:
-            assert max(loads.values()) - min(loads.values()) <= 14 * (37 + 10)
+@pytest.mark.parametrize(("cell", "small", "hot"), [(1 << 14, 1 << 17, 4096), (5, 0, 3)])
+def test_groups_stay_together_and_slots_are_gapless(spark, monkeypatch, cell, small, hot):
+    for name, value in (("CELL", cell), ("SMALL", small), ("HOT", hot)):
+        monkeypatch.setattr(sharding, name, value)
+    docs = spark.createDataFrame([(i, f"text {i % 37} " + "y" * (i % 37) if i % 2 else "the same") for i in range(500)], "doc_id bigint, text string")
+    rows = sharding.shard_by_bytes(docs, 4).collect()
+    assert len(rows) == 500
+    _check(rows, 4)
+    of, bytes_, loads = defaultdict(set), defaultdict(int), defaultdict(int)
+    for r in rows:
+        key = r.doc_id % 37 if r.doc_id % 2 else "same"
+        of[key].add(r.shard)
+        bytes_[key] += r.size
+        loads[r.shard] += r.size
+    assert all(len(s) == 1 for s in of.values())
+    expected = [0] * 4
+    for size in sorted(bytes_.values(), reverse=True):
+        expected[expected.index(min(expected))] += size
+    assert sorted(loads.values()) == sorted(expected)
 
 
 def test_odd_rows(spark, odd, none):

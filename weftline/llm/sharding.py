@@ -1,14 +1,16 @@
 """Sharding by longest-processing-time scheduling of groups that must stay together.
 
 Groups (here: equal texts) are taken by size, the largest first, and each goes to the shard with
-the least load, kept in a heap. The heap needs every item in one place, so the number of items is
-bounded by construction and not by the input: groups of at least 1/``ITEMS`` of all bytes are
-items of their own (there can be ``ITEMS`` of them at most), and all smaller groups are hashed
-into ``BUNDLES`` bundles of whole groups. So at most ITEMS + BUNDLES numbers reach the driver and
-the same number of shard names goes back, for any input; loads differ by one item at most.
+the least load, kept in a heap. Groups of one size are alike to that law, so what the heap needs is
+how many groups there are of each size, and what it gives is how many of them each shard takes. Both
+are one row a size: distinct sizes add up to no more than all bytes, so they are fewer than the root of
+twice the bytes (14 million for 100 TB, were every size there). A run of equal groups is dealt in one
+step, to the level that it fills. Which groups of a size go where is their rank among them, counted by
+cells, so that a size that many groups have isn't gathered anywhere.
 
-Slots are gapless within a shard without gathering a shard anywhere: rows are dealt to (shard,
-cell) by a hash, counted per cell, and numbered from the running sum of the cells before.
+Rows get the shard of their group by its hash; groups with at least 1/``HOT`` of all rows (so at most
+``HOT``) by a broadcast. Slots are gapless within a shard without gathering a shard anywhere: rows are
+dealt to (shard, cell), counted per cell, and numbered from the running sum of the cells before.
 
 Defined results: a null text has size 1, the checksum of no bytes, and shares the group of empty
 texts; repeated rows and null or repeated ids each get a slot of their own; an empty table gives
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,47 +29,77 @@ from pyspark.sql.window import Window
 
 from weftline.llm.runtime import settle
 
-ITEMS = 1 << 15
-BUNDLES = 1 << 14
-CELLS = 1 << 10
+HOT = 4096
+#: Rows or groups that a cell holds, about.
+CELL = 1 << 14
+#: Tables of at most so many short rows are broadcast, larger ones are joined as the planner likes.
+SMALL = 1 << 17
 
 
-def longest_first(items: list[tuple[int, object]], shards: int) -> dict[object, int]:
-    """Shard of each item: by size, largest first (ties by name), each to the least-loaded shard (ties to the lowest)."""
-    loads = [(0, s) for s in range(shards)]
-    placed = {}
-    for size, name in sorted(items, key=lambda x: (-x[0], x[1])):
-        load, shard = heapq.heappop(loads)
-        placed[name] = shard
-        heapq.heappush(loads, (load + size, shard))
-    return placed
+def longest_first(runs: list[tuple[int, int]], shards: int) -> list[tuple[int, list[int]]]:
+    """For each (size, groups), the largest first: how many of its groups every shard takes.
+
+    As if each group went to the least-loaded shard (ties to the lowest) in turn.
+    """
+    loads, out = [0] * shards, []
+    for size, n in sorted(runs, reverse=True):
+        got = [0] * shards
+        if n > 2 * shards:
+            # A shard is given groups as long as its load is under the level: the highest level that n groups suffice for.
+            under = lambda level: sum(max(0, -((load - level) // size)) for load in loads)  # noqa: B023, E731
+            low, high = min(loads), min(loads) + size * n + 1
+            while high - low > 1:
+                middle = (low + high) // 2
+                low, high = (middle, high) if under(middle) <= n else (low, middle)
+            got = [max(0, -((load - low) // size)) for load in loads]
+        heap = [(load + size * g, s) for s, (load, g) in enumerate(zip(loads, got, strict=True))]
+        heapq.heapify(heap)
+        for _ in range(n - sum(got)):
+            load, s = heap[0]
+            heapq.heapreplace(heap, (load + size, s))
+            got[s] += 1
+        loads = [load + size * g for load, g in zip(loads, got, strict=True)]
+        out.append((size, got))
+    return out
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= SMALL else df
+
+
+def numbered(rows: DataFrame, within: str, order: list, cells: int, name: str) -> DataFrame:
+    """Adds ``name``: the rows' gapless numbers from 0 within each value of ``within``; rows are dealt to cells first."""
+    # Whatever repeats, rows of one value are spread: the table is written before it is read twice.
+    rows = settle(rows.withColumn("cell", F.pmod(F.xxhash64(*order, F.monotonically_increasing_id()), F.lit(cells)).cast("int")), f"shard-{name}")
+    counts = rows.groupBy(within, "cell").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy(within).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+    counts = settle(counts.select(within, "cell", F.coalesce(before, F.lit(0)).alias("before")), f"shard-{name}-cells")
+    place = F.row_number().over(Window.partitionBy(within, "cell").orderBy(*order)) - 1
+    return rows.withColumn("place", place).join(_small(counts, counts.count()), [within, "cell"]).withColumn(name, F.col("before") + F.col("place")).drop("cell", "place", "before")
+
+
+def placed_groups(groups: DataFrame, shards: int) -> DataFrame:
+    """(grp, rows, shard) of groups (grp, bytes, rows)."""
+    runs = [(r.bytes, r.n) for r in groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()]
+    dealt = longest_first(runs, shards)
+    # The ranks at which each shard's groups of a size end.
+    ends = np.array([np.cumsum(got) for _, got in dealt], np.int64).reshape(len(dealt), shards)
+    sizes = groups.sparkSession.createDataFrame([(size, row) for (size, _), row in zip(dealt, ends.tolist(), strict=True)], "bytes bigint, ends array<bigint>")
+    ranked = numbered(groups, "bytes", ["grp"], max(1, -(-sum(n for _, n in runs) // CELL)), "rank")
+    shard = F.size(F.filter("ends", lambda e: e <= F.col("rank")))
+    return ranked.join(_small(sizes, len(dealt)), "bytes").select("grp", "rows", shard.cast("int").alias("shard"))
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 16, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, size, text_crc32, law ('bytes'), shard, slot and grown_shard (null under this law) of every row."""
-    spark = docs.sparkSession
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    sized = docs.select(id_col, (F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long") + 1).alias("size"), F.crc32(raw).alias("text_crc32"), F.unhex(F.sha2(raw, 256)).alias("grp"))
+    sized = docs.select(F.col(id_col).alias("id"), (F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long") + 1).alias("size"), F.crc32(raw).alias("text_crc32"), F.unhex(F.sha2(raw, 256)).alias("grp"))
     sized = settle(sized, "shard-sizes")
-    groups = settle(sized.groupBy("grp").agg(F.sum("size").alias("bytes")), "shard-groups")
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
-    single = F.col("bytes") * ITEMS >= F.lit(total)
-    bundle = F.pmod(F.xxhash64("grp"), F.lit(BUNDLES)).cast("int")
-    large = groups.where(single).collect()
-    small = groups.where(~single).groupBy(bundle.alias("bundle")).agg(F.sum("bytes").alias("bytes")).collect()
-    placed = longest_first([(r.bytes, (0, bytes(r.grp))) for r in large] + [(r.bytes, (1, r.bundle)) for r in small], shards)
-    own = spark.createDataFrame([(bytearray(name), shard) for (kind, name), shard in placed.items() if kind == 0], "grp binary, own int")
-    dealt = spark.createDataFrame([(name, shard) for (kind, name), shard in placed.items() if kind == 1], "bundle int, dealt int")
-    cell = F.pmod(F.xxhash64(F.col(id_col), "grp"), F.lit(CELLS)).cast("int")
-    shardless = sized.join(F.broadcast(own), "grp", "left").withColumn("bundle", bundle).join(F.broadcast(dealt), "bundle", "left")
-    rows = settle(shardless.select(id_col, "size", "text_crc32", F.coalesce("own", "dealt").alias("shard"), cell.alias("cell")), "shard-rows")
-    counts = rows.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("n"))
-    # At most shards * CELLS rows, whatever the input.
-    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.select("shard", "cell", F.coalesce("before", F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy("shard", "cell").orderBy(F.col(id_col), "text_crc32", "size")) - 1
-    return (
-        rows.withColumn("place", place)
-        .join(F.broadcast(before), ["shard", "cell"])
-        .select(id_col, "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), (F.col("before") + F.col("place")).cast("long").alias("slot"), F.lit(None).cast(T.IntegerType()).alias("grown_shard"))
-    )
+    groups = settle(sized.groupBy("grp").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")), "shard-groups")
+    total = groups.agg(F.sum("rows")).first()[0] or 0
+    placed = settle(placed_groups(groups, shards), "shard-places")
+    # At most HOT rows, by what hot means.
+    hot = F.broadcast(placed.where(F.col("rows") * HOT >= total).select("grp", "shard"))
+    rows = sized.join(hot, "grp").union(sized.join(hot, "grp", "left_anti").join(placed.select("grp", "shard"), "grp"))
+    out = numbered(rows.select("id", "size", "text_crc32", "shard"), "shard", ["id", "text_crc32", "size"], max(1, -(-total // (shards * CELL))), "slot")
+    return out.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast(T.IntegerType()).alias("grown_shard"))
