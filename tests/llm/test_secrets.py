@@ -31,6 +31,14 @@ def test_against_brute_force(spark):
         assert [tuple(s) for s in r.found] == brute(TEXTS[r.doc_id]), TEXTS[r.doc_id]
 
 
+def test_blocks_grow_in_number_only(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "BLOCK_ROWS", 8)
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("password = hunter22").alias("text"))
+    index = secrets.build_index(df, ["pas", "zzz"], F.xxhash64("doc_id"), F.col("text")).select(F.size("lists.pas").alias("n")).collect()
+    assert 30 <= len(index) <= 51 and sum(r.n for r in index) == 400 and max(r.n for r in index) <= 24
+    assert secrets.digests(df).where("n_assign = 1").count() == 400
+
+
 def test_redaction_leaves_nothing_to_find(spark):
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "doc_id int, text string, found string")
     clean = secrets.redact(df)

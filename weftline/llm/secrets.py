@@ -5,7 +5,9 @@ which of the queries' trigrams each (lower-cased) text holds and inverts that in
 for each trigram and block of texts, the keys of the texts that hold it. A rule's query is
 evaluated on the postings of a block by intersection and union; the texts that remain are its
 candidates, and only on them is its expression run. A rule without a mandatory trigram scans every
-text. Postings are cut into blocks, so none grows with the corpus; nothing reaches the driver.
+text. A block is a range of hashed keys that about ``BLOCK_ROWS`` rows fall into, so there are more blocks
+the more texts there are, and no posting list or block grows with the corpus; of the texts only their
+number reaches the driver. Rows with the same id and text have one key.
 
 Defined results: a null text is an empty one; rows with equal or null ids are told apart by their
 text's hash and each is scanned; an empty table gives an empty table. Offsets count code points.
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import trigrams
-from weftline.llm.runtime import settle, shuffle_partitions
+from weftline.llm.runtime import settle
 
 
 @dataclass(frozen=True)
@@ -49,7 +51,7 @@ ADDED = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
 )
 RULES = BASE + ADDED
-_BLOCK_ROWS = 4
+BLOCK_ROWS = 8192
 
 _SPANS = "array<struct<start:int,ord:int,end:int,kind:string>>"
 
@@ -98,7 +100,7 @@ def _posted(q, lists: Column) -> Column:
 
 def build_index(docs: DataFrame, wanted: list[str], key: Column, text: Column) -> DataFrame:
     """The inverted index (block, lists): for each block, a map from trigram to the keys of the texts that hold it."""
-    blocks = shuffle_partitions(docs.sparkSession) * _BLOCK_ROWS
+    blocks = docs.count() // BLOCK_ROWS + 1
     low = F.lower(text)
     held = docs.select(key.alias("key"), low.alias("low")).select("key", F.filter(F.array(*(F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in wanted)), lambda g: g.isNotNull()).alias("grams"))
     posted = held.where(F.size("grams") > 0).select("key", F.explode("grams").alias("gram")).withColumn("block", F.pmod("key", F.lit(blocks)))

@@ -5,8 +5,11 @@ blocks of ``BLOCK`` rows, each a set of posting lists: for each dimension, the r
 weight and their weights. A sparse query row scatters weight * posting into a dense score array
 over the block, one term after another, for all the queries of a query block at once. A partition
 selection keeps each query's best k of a block and merges them with the best so far; what a task
-kept is merged once more over all tasks. Candidate blocks and query blocks meet through an
-equi-join on (query block, slice): each pair of blocks meets in one task, no pair of rows is made.
+kept is merged once more over all tasks.
+
+Queries are taken in turns of at most ``TURN`` cells. A turn is broadcast, and every task holds it
+against the candidate blocks that it reads: no candidate is copied or shuffled, no pair of rows is made, and
+what a task or the driver holds has a bound for any number of queries. Candidates are read once a turn.
 
 Defined results: vectors that are null, or hold a null or a non-finite component, or differ in
 length from their query take no part; ties go to the smaller id; rows with a null id are neither
@@ -17,6 +20,7 @@ own id's query, which is asked once for each distinct vector; an empty table giv
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weftline.llm.runtime import settle, shuffle_partitions, small_batches
+from weftline.llm.runtime import settle, small_batches
 
 BLOCK = 1024
 QUERIES = 512
+#: Components of the queries of a turn: 16 MB at two bytes each.
+TURN = 1 << 23
 #: Cells are kept in the narrowest of these that holds a block's values.
 KINDS = ("<i2", "<i4", "<i8")
 
@@ -72,17 +78,17 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
 
 def scores(queries: np.ndarray, cells: np.ndarray) -> np.ndarray:
     """Integer inner products (queries x rows), term by term over the posting lists of ``cells``."""
-    out = np.zeros((len(queries), len(cells)), np.int64)
-    for term in range(cells.shape[1]):
-        rows = np.flatnonzero(cells[:, term])
-        asked = np.flatnonzero(queries[:, term])
-        if not len(rows) or not len(asked):
-            continue
-        added = queries[asked, term][:, None] * cells[rows, term][None, :]
-        if len(rows) == len(cells) and len(asked) == len(queries):
+    most = int(np.abs(queries).max(initial=0)) * int(np.abs(cells).max(initial=0)) * cells.shape[1]
+    kind = np.int32 if most < 1 << 31 else np.int64
+    queries, cells = queries.astype(kind), np.ascontiguousarray(cells.T, kind)
+    out, added = np.zeros((len(queries), cells.shape[1]), kind), np.empty((len(queries), cells.shape[1]), kind)
+    for weights, postings in zip(np.ascontiguousarray(queries.T), cells, strict=True):
+        rows, asked = np.flatnonzero(postings), np.flatnonzero(weights)
+        if 2 * len(rows) * len(asked) > out.size:
+            np.multiply(weights[:, None], postings[None, :], out=added)
             out += added
-        else:
-            out[np.ix_(asked, rows)] += added
+        elif len(rows) and len(asked):
+            out[np.ix_(asked, rows)] += weights[asked, None] * postings[None, rows]
     return out
 
 
@@ -102,42 +108,65 @@ def best(ids: np.ndarray, found: np.ndarray, own: int, k: int) -> tuple[np.ndarr
     return ids[order], found[order]
 
 
+def _turns(asked: DataFrame) -> Iterator[list[dict]]:
+    """Lists of query blocks of at most ``TURN`` cells; the driver holds one list and one block."""
+    held, size = [], 0
+    for row in asked.orderBy("dim", "block").toLocalIterator():
+        n = row["n"] * row["dim"]
+        if held and size + n > TURN:
+            yield held
+            held, size = [], 0
+        held.append(row.asDict())
+        size += n
+    if held:
+        yield held
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["cells"], row["kind"]).reshape(row["n"], row["dim"]).astype(np.int64)
+
+
+def _searched(blocks: DataFrame, turn: list[dict], k: int) -> DataFrame:
+    """(query_id, vec_id, score): the k best that each task has found for each query of the turn."""
+    shared = blocks.sparkSession.sparkContext.broadcast(turn)
+    # Every block meets the queries of its length alone.
+    dims = sorted({row["dim"] for row in turn})
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = [(row["dim"], *_unpacked(row)) for row in shared.value]
+        nothing = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held = [[nothing] * len(ids) for _, ids, _ in queries]
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, cells = _unpacked(row)
+                for (dim, asked, rows), kept in zip(queries, held, strict=True):
+                    if dim != row["dim"]:
+                        continue
+                    for q, (own, found) in enumerate(zip(asked, scores(rows, cells), strict=True)):
+                        low = kept[q][1][-1] if len(kept[q][1]) == k else None
+                        if low is not None and found.max() < low:
+                            continue
+                        first = best(ids, found, own, k)
+                        kept[q] = best(np.concatenate([kept[q][0], first[0]]), np.concatenate([kept[q][1], first[1].astype(np.int64)]), own, k)
+        for (_, asked, _), kept in zip(queries, held, strict=True):
+            sizes = np.array([len(x[0]) for x in kept], np.int64)
+            columns = np.repeat(asked, sizes), np.concatenate([x[0] for x in kept]), np.concatenate([x[1] for x in kept])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+
+    return blocks.where(F.col("dim").isin(dims)).select("n", "dim", "kind", "ids", "cells").mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` its k best of ``vectors``, itself left out."""
     spark = vectors.sparkSession
     small_batches(spark)
-    slices = max(1, shuffle_partitions(spark))
     asked = settle(_packed(quantised(queries, id_col, vector_col, scale).distinct(), QUERIES), "topk-queries")
-    asked = asked.withColumn("qb", F.xxhash64("block", "n", "ids"))
-    names = asked.select("qb", "dim").distinct()
-    blocks = settle(_packed(quantised(vectors, id_col, vector_col, scale), BLOCK), "topk-blocks").withColumn("slice", F.pmod(F.xxhash64("ids"), F.lit(slices)).cast("int"))
-    # Which query blocks a candidate block meets: all of its length. The join is on dim, over block names alone.
-    meets = blocks.join(names, "dim").select("qb", "slice", F.col("n").alias("bn"), "dim", F.col("kind").alias("bkind"), F.col("ids").alias("bids"), F.col("cells").alias("bcells"))
-    spread = asked.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).select("qb", "slice", F.col("n").alias("qn"), F.col("kind").alias("qkind"), F.col("ids").alias("qids"), F.col("cells").alias("qcells"))
-    pairs = meets.join(spread, ["qb", "slice"]).select("qb", "qn", "bn", "dim", "qkind", "bkind", "qids", "qcells", "bids", "bcells")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(qids: np.ndarray, held: list) -> pa.RecordBatch:
-            out = [(int(q), int(i), int(s)) for q, (ids, found) in zip(qids, held, strict=True) for i, s in zip(ids, found, strict=True)]
-            return pa.RecordBatch.from_pydict({"query_id": pa.array([r[0] for r in out], pa.int64()), "vec_id": pa.array([r[1] for r in out], pa.int64()), "score": pa.array([r[2] for r in out], pa.int64())})
-
-        now, qids, asked_cells, held = None, None, None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["qb"] != now:
-                    if now is not None:
-                        yield rows(qids, held)
-                    now, qids = row["qb"], np.frombuffer(row["qids"], "<i8")
-                    asked_cells = np.frombuffer(row["qcells"], row["qkind"]).reshape(row["qn"], row["dim"]).astype(np.int64)
-                    held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(qids)
-                ids = np.frombuffer(row["bids"], "<i8")
-                found = scores(asked_cells, np.frombuffer(row["bcells"], row["bkind"]).reshape(row["bn"], row["dim"]).astype(np.int64))
-                for q, own in enumerate(qids):
-                    first = best(ids, found[q], own, k)
-                    held[q] = best(np.concatenate([held[q][0], first[0]]), np.concatenate([held[q][1], first[1]]), own, k)
-        if now is not None:
-            yield rows(qids, held)
-
-    found = pairs.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+    blocks = settle(_packed(quantised(vectors, id_col, vector_col, scale), BLOCK), "topk-blocks")
     place: Column = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best_of = lambda found: found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    held: list[DataFrame] = []
+    for turn in _turns(asked):
+        # What a turn found is written before the next, so that plans stay short.
+        held[-1:] = [settle(best_of(last).drop("rank"), "topk-found") for last in held[-1:]]
+        held.append(_searched(blocks, turn, k))
+    return best_of(reduce(DataFrame.union, held) if held else spark.createDataFrame([], "query_id bigint, vec_id bigint, score bigint"))
