@@ -61,21 +61,33 @@ def test_the_table_holds_most_pre_tokens(spark):
 def test_pieces_are_the_librarys():
     own = sentencepiece_codec.Codec(tokenizer("piece_bpe_32k.model"))
     assert own.by_chunk
-    for text in fuzz():
+    texts = fuzz()
+    for text, got in zip(texts, own.run(texts), strict=True):
         ids = own.model.encode(text)
-        assert own.run(text) == (",".join(map(str, ids)), len(ids), own.model.decode(ids))
+        assert got == (",".join(map(str, ids)), len(ids), own.model.decode(ids))
 
 
 def test_decoded_texts_come_from_decode():
     own = sentencepiece_codec.Codec(tokenizer("piece_bpe_32k.model"))
     asked, real = [], own.decode
-    own.decode = lambda ids: asked.append(list(ids)) or real(ids)
-    assert own.run("two words  and two")[2] == "two words  and two" and own._encode("two") in asked
+    own.decode = lambda rows: asked.extend(rows) or real(rows)
+    assert own.run(["two words  and two"])[0][2] == "two words  and two"
+    assert own._encode("two") in asked and [own.mark, own.mark, *own._encode("two")] in asked
     seen = len(asked)
-    assert own.run("two words")[2] == "two words" and len(asked) == seen
+    assert own.run(["two words", "two words two"])[1][2] == "two words two" and len(asked) == seen
     own.table.clear()
-    own.decode = lambda ids: real(ids).upper()
-    assert own.run("two words")[2] == "TWO WORDS"
+    own.firsts.clear()
+    own.decode = lambda rows: [x.upper() for x in real(rows)]
+    assert own.run(["two words"])[0][2] == "TWO WORDS"
+
+
+def test_the_tables_are_bounded(monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "TABLE_ROWS", 4)
+    own = sentencepiece_codec.Codec(tokenizer("piece_bpe_32k.model"))
+    for text in ("a b c d e f g a b", "x y", "long" * 100 + " z", "a b"):
+        ids = own.model.encode(text)
+        assert own.run([text]) == [(",".join(map(str, ids)), len(ids), text)]
+        assert len(own.table) <= 4 and len(own.firsts) <= 4 and all(len(c) <= sentencepiece_codec.LONG for c in own.table)
 
 
 def test_a_text_that_does_not_come_back_is_told(spark):
@@ -98,4 +110,4 @@ def test_encode_and_decode(spark, odd, none):
 @pytest.mark.parametrize("text", ["", " ", "  a", "a ", "\n", "a\n b"])
 def test_marks_at_the_ends(text):
     own = sentencepiece_codec.codec(tokenizer("piece_bpe_32k.model"))
-    assert own.run(text)[0] == ",".join(map(str, own.model.encode(text)))
+    assert own.run([text])[0][0] == ",".join(map(str, own.model.encode(text)))

@@ -3,10 +3,10 @@
 In a model none of whose pieces has a whitespace marker after another character, no piece crosses
 from a character to a following marker. A text then falls into *marked words*: a run of markers with
 the characters up to the next run. Each distinct marked word is encoded by the library once in a
-worker, and its ids are decoded by the library twice: as the beginning of a text, where the library
-gives up the marker that it put there itself, and after another piece. Ids, their count and both
-decoded texts are kept in a bounded table; a text's ids and its decoded text are those of its words,
-joined by position.
+worker, and its ids are decoded by the library as they stand after another piece; a text's first word
+also as it stands at the beginning, where the library gives up the marker that it put there itself. Ids,
+their count and decoded texts are kept in bounded tables; a text's ids and its decoded text are those
+of its words, joined by position. The words that a batch of texts lacks in the table go to the library at once.
 
 The join is proved for each model and text and not assumed: the marker is a piece of its own (so no
 word begins inside a run of bytes or unknown characters), no piece crosses, and the model's normaliser
@@ -29,6 +29,10 @@ from pyspark.sql import types as T
 from weftline.llm.runtime import small_batches
 
 TABLE_ROWS = 1 << 18
+#: Longer words don't stay in the tables.
+LONG = 256
+#: Texts whose words go to the library together.
+AT_ONCE = 16
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _workers: dict[str, Codec] = {}
@@ -41,44 +45,64 @@ class Codec:
         import sentencepiece
 
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.decode = model.decode
+        self.decode = lambda rows: model.decode(rows, num_threads=1) if rows else []
         crossing = re.compile(f"[^{MARK}]{MARK}")
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.mark = model.piece_to_id(MARK)
         known = self.mark != model.unk_id() and all(model.is_control(i) or not model.is_unused(i) for i in range(len(pieces)))
         self.by_chunk = known and not any(crossing.search(p) for p in pieces)
-        self.table: dict[str, tuple[str, int, str, str]] = {}
+        #: Ids (decimal, comma-joined), their count, and what they decode to after a piece; what first words decode to.
+        self.table: dict[str, tuple[str, int, str]] = {}
+        self.firsts: dict[str, str] = {}
 
-    def _encode(self, text: str) -> list[int]:
-        return self.model.encode(text, add_bos=False, add_eos=False, enable_sampling=False)
+    def _encode(self, texts: str | list[str]) -> list:
+        return self.model.encode(texts, add_bos=False, add_eos=False, enable_sampling=False, num_threads=1)
 
-    def _segment(self, chunk: str) -> tuple[str, int, str, str]:
-        """Ids (decimal, comma-joined), their count, and what they decode to at the beginning of a text and after a piece."""
+    def _segment(self, chunks: list[str]) -> None:
+        """Puts marked words into the table."""
         # The model puts a marker of its own before a text; every chunk begins with one, so it gives its first up.
-        ids = [self.mark] if chunk == MARK else self._encode(chunk[1:].replace(MARK, " "))
-        after = self.decode([self.mark, self.mark, *ids])[len(self.decode([self.mark, self.mark])) :]
-        return ",".join(map(str, ids)), len(ids), self.decode(ids), after
-
-    def run(self, text: str) -> tuple[str, int, str]:
-        """Ids as decimals joined by commas, their count, and the decoded text."""
-        if not text:
-            return "", 0, ""
-        marked = MARK + text.replace(" ", MARK)
-        if not self.by_chunk or MARK in text or "\x00" in text or self.model.normalize(text) != marked:
-            ids = self._encode(text)
-            return ",".join(map(str, ids)), len(ids), self.decode(ids)
+        ids = [x if c != MARK else [self.mark] for c, x in zip(chunks, self._encode([c[1:].replace(MARK, " ") for c in chunks]), strict=True)]
+        before = [self.mark, self.mark]
+        cut = len(self.decode([before])[0])
+        after = self.decode([before + x for x in ids])
+        self.table.update((c, (",".join(map(str, x)), len(x), back[cut:])) for c, x, back in zip(chunks, ids, after, strict=True))
+
+    def _first(self, chunk: str) -> str:
+        if (back := self.firsts.get(chunk)) is None:
+            back = self.firsts[chunk] = self.decode([list(map(int, self.table[chunk][0].split(",")))])[0]
+        return back
+
+    def run(self, texts: list[str]) -> list[tuple[str, int, str]]:
+        """Of each text the ids as decimals joined by commas, their count, and the decoded text."""
+        cut: list[list[str] | None] = []
+        for text in texts:
+            marked = MARK + text.replace(" ", MARK)
+            apart = self.by_chunk and MARK not in text and "\x00" not in text and (not text or self.model.normalize(text) == marked)
+            cut.append(_CHUNK.findall(marked) if text and apart else None)
         table = self.table
-        if len(table) > TABLE_ROWS:
-            table.clear()
-        rows = []
-        for chunk in _CHUNK.findall(marked):
-            row = table.get(chunk)
-            if row is None:
-                row = self._segment(chunk)
-                if len(chunk) <= 256:
-                    table[chunk] = row
-            rows.append(row)
-        return ",".join([r[0] for r in rows]), sum([r[1] for r in rows]), rows[0][2] + "".join([r[3] for r in rows[1:]])
+        words = {c for chunks in cut if chunks for c in chunks}
+        if missing := [c for c in words if c not in table]:
+            if len(table) + len(missing) > TABLE_ROWS:
+                table.clear()
+                missing = list(words)
+            self._segment(missing)
+        out = []
+        for text, chunks in zip(texts, cut, strict=True):
+            if not text:
+                out.append(("", 0, ""))
+            elif chunks is None:
+                ids = self._encode(text)
+                out.append((",".join(map(str, ids)), len(ids), self.decode([ids])[0]))
+            else:
+                rows = [table[c] for c in chunks]
+                out.append((",".join([r[0] for r in rows]), sum([r[1] for r in rows]), self._first(chunks[0]) + "".join([r[2] for r in rows[1:]])))
+        for held in table, self.firsts:
+            if len(held) > TABLE_ROWS:
+                held.clear()
+            for c in missing:
+                if len(c) > LONG:
+                    held.pop(c, None)
+        return out
 
 
 def codec(path: str) -> Codec:
@@ -95,7 +119,8 @@ def _map(docs: DataFrame, model: str, id_col: str, text_col: str, fields: list[T
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            found = [row(own.run(t or ""), t or "") for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            found = [row(r, t) for a in range(0, len(texts), AT_ONCE) for r, t in zip(own.run(texts[a : a + AT_ONCE]), texts[a : a + AT_ONCE], strict=True)]
             columns = zip(*found, strict=True) if found else [[] for _ in fields]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), kinds[f.dataType]) for c, f in zip(columns, fields, strict=True))], out.names)
 
@@ -123,6 +148,6 @@ def decode(rows: DataFrame, model: str, *, id_col: str = "doc_id", ids_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([own.decode(list(x)) if x else "" for x in batch.column(1).to_pylist()], pa.string())], out.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.decode([list(x or []) for x in batch.column(1).to_pylist()]), pa.string())], out.names)
 
     return rows.select(id_col, ids_col).mapInArrow(run, out)

@@ -33,7 +33,7 @@ HOT = 4096
 #: Rows or groups that a cell holds, about.
 CELL = 1 << 14
 #: Tables of at most so many short rows are broadcast, larger ones are joined as the planner likes.
-SMALL = 1 << 17
+SMALL = 1 << 14
 
 
 def longest_first(runs: list[tuple[int, int]], shards: int) -> list[tuple[int, list[int]]]:
