@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 import pandas as pd
 import pytest
@@ -43,6 +44,21 @@ def test_ema_is_pandas_with_gaps(spark):
     assert all((g is None and math.isnan(e)) or abs(g - e) < 1e-12 for g, e in zip(got, expected, strict=True))
 
 
+@pytest.mark.parametrize("span", [1, 4, 30])
+def test_ema_carries_over_any_gap_and_any_length(spark, span):
+    rng = random.Random(span)
+    values = [rng.uniform(0, 100) if rng.random() < 0.7 else None for _ in range(2500)] + [None] * 1000 + [7.0, None, 9.0, float("nan"), 1.0]
+    got = [r.e for r in weekly.with_ema_prior(weeks(spark, values), {"e": ("units", span)}).orderBy("week").collect()]
+    expected = pd.Series(values, dtype=float).ewm(span=span, adjust=False).mean().shift(1)
+    assert got[3400] is not None
+    assert all((g is None and math.isnan(e)) or abs(g - e) < 1e-9 for g, e in zip(got, expected, strict=True))
+
+
+def test_averages_share_one_exchange(spark):
+    plan = weekly.lag_features(weeks(spark, [1.0, 2.0]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_future_rows_change_nothing_before_them(spark):
     short = {r.week: r for r in weekly.lag_features(weeks(spark, [5, 6, 7])).collect()}
     long = {r.week: r for r in weekly.lag_features(weeks(spark, [5, 6, 7, 99, 100])).collect()}

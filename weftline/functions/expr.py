@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
-
-#: Weight below which the far past of an exponential average is not carried.
-EMA_TAIL = 1e-15
 
 
 def num(c: Column | str) -> Column:
@@ -27,26 +21,6 @@ def clip(c: Column, low: float, high: float) -> Column:
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(low)), F.lit(high)))
 
 
-def ema_prior(value: Column | str, span: int, series: WindowSpec) -> Column:
-    """Exponential average of the rows before this one, seeded by the first, with alpha 2 / (span + 1).
-
-    A missing value carries the average forward and lets the next one weigh more, by the rows since.
-    The frame ends where the weights fall under ``EMA_TAIL``, so the work a row takes is bounded.
-    """
-    value = F.col(value) if isinstance(value, str) else value
-    alpha = 2.0 / (span + 1)
-    rows = max(1, math.ceil(math.log(EMA_TAIL) / math.log(1 - alpha))) if alpha < 1 else 1
-    past = F.collect_list(F.struct(value.cast("double").alias("x"))).over(series.rowsBetween(-rows, -1))
-
-    def step(acc: Column, row: Column) -> Column:
-        kept = F.pow(F.lit(1 - alpha), acc["gap"])
-        blended = (kept * acc["y"] + alpha * row["x"]) / (kept + alpha)
-        y = F.when(row["x"].isNull(), acc["y"]).when(acc["y"].isNull(), row["x"]).otherwise(blended)
-        return F.struct(y.alias("y"), F.when(row["x"].isNull() & acc["y"].isNotNull(), acc["gap"] + 1.0).otherwise(F.lit(1.0)).alias("gap"))
-
-    return F.aggregate(past, F.struct(F.lit(None).cast("double").alias("y"), F.lit(1.0).alias("gap")), step, lambda acc: acc["y"])
-
-
 def right_closed_bin(value: Column, edges: list[float]) -> Column:
     """Index of the bin (edge, edge]; the first bin holds its lower edge; outside or null: null."""
     inner = [(value > F.lit(e)).cast("int") for e in edges[1:-1]]

@@ -7,8 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.expr import ema_prior
 from weftline.operators.prep import SERIES
+from weftline.operators.weekly import with_ema_prior
 
 DAILY_LAGS = (1, 3, 7, 14, 28)
 MEANS = (3, 7, 14, 28)
@@ -66,8 +66,7 @@ def daily_features(df: DataFrame, target: str = "units", keys: Iterable[str] = S
         for k in sizes:
             w = s.rowsBetween(-k, -1)
             columns[f"roll_{k}d_{name}"] = F.when(F.count(target).over(w) == k, f(target).over(w))
-    columns |= {f"ema_{k}d": ema_prior(target, k, s) for k in EMAS}
-    return df.withColumns(columns)
+    return with_ema_prior(df.withColumns(columns), {f"ema_{k}d": (target, k) for k in EMAS}, keys, date_col)
 
 
 def last_of_week(df: DataFrame, columns: Iterable[str] = DAILY_COLUMNS, keys: Iterable[str] = SERIES, date_col: str = "date") -> DataFrame:

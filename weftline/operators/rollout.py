@@ -12,9 +12,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.expr import ema_prior
 from weftline.operators.prep import SERIES
-from weftline.operators.weekly import series_window
+from weftline.operators.weekly import series_window, with_ema_prior
 
 COLUMNS = ["sku_id", "branch_id", "week", "horizon", "forecast_units"]
 ALPHA = 2.0 / 5
@@ -32,8 +31,8 @@ def rollout(history: DataFrame, predict: Callable[[DataFrame], DataFrame], horiz
     last = history.agg(F.max("week").alias("_last"))
     value = F.col(target).cast("double")
     state = (
-        history.withColumn("_past", F.collect_list(F.struct(value.alias("x"))).over(s.rowsBetween(-3, 0)))
-        .withColumn("_prior", ema_prior(target, 4, s))
+        with_ema_prior(history, {"_prior": (target, 4)}, keys)
+        .withColumn("_past", F.collect_list(F.struct(value.alias("x"))).over(s.rowsBetween(-3, 0)))
         .join(F.broadcast(last))
         .where(F.col("week") == F.col("_last"))
         .withColumn("_ema", F.when(F.col("_prior").isNull(), value).otherwise((1 - ALPHA) * F.col("_prior") + ALPHA * value))

@@ -99,6 +99,19 @@ def ema_sales_8w(spark, sf):
     return shown(w.ema_sales(panel.weekly(spark, sf)), "week", *KEYS, "ema_sales_8w")
 
 
+GAPPED = "CASE WHEN (month(week) + length(sku_id)) % 3 <> 0 THEN units END"
+
+
+@query(f"""WITH {panel.WEEKLY}, g AS (SELECT week, sku_id, branch_id, {GAPPED} AS u, row_number() OVER {S} AS n FROM panel),
+f AS (SELECT *, list_reduce(list(struct_pack(y := u::DOUBLE, n := n)) FILTER (WHERE u IS NOT NULL) {over('UNBOUNDED PRECEDING AND 1 PRECEDING')},
+  lambda a, x: struct_pack(y := (pow(0.6::DOUBLE, x.n - a.n) * a.y + 0.4::DOUBLE * x.y) / (pow(0.6::DOUBLE, x.n - a.n) + 0.4::DOUBLE), n := x.n)) AS e FROM g)
+SELECT {WEEK}, sku_id, branch_id, {R('e.y', 'ema_4')} FROM f""")
+def ema_over_gaps(spark, sf):
+    """Months without values: the average is carried on and the next value weighs more."""
+    rows = panel.weekly(spark, sf).withColumn("units", F.expr(GAPPED))
+    return shown(w.with_ema_prior(rows, {"ema_4": ("units", 4)}), "week", *KEYS, "ema_4")
+
+
 LEAD = f""",
 lead AS (
   SELECT *, CASE WHEN cover <= 1 THEN 1 WHEN cover <= 2 THEN 2 ELSE 4 END AS lead_time_weeks
