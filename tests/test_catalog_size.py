@@ -21,4 +21,4 @@ def test_registered_queries_run_the_whole_operator(monkeypatch, name):
         assert call.kwargs["trials"] == 50 and call.kwargs.get("folds", 3) == 3
     else:
         call = models.boosted_trees.call_args
-        assert call.args[1] == catalog.MODEL_FEATURES and "maxIter" not in (call.kwargs.get("params") or {})
+        assert call.args[1] == catalog.MODEL_FEATURES and "rounds" not in (call.kwargs.get("params") or {})

@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 from weftline import cli
+from weftline.operators.boosting import Coding, Trees
 from weftline.operators.factors import FilterConfig
 from weftline.plans import catalog, panel
 from weftline.plans.jobs import ForecastConfig, TrainConfig, run_forecast, run_train
-from weftline.sources import model_store
+from weftline.sources import files, model_store
 from weftline.streaming.factor_stream import stream_states
 
 SMALL = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ def test_train_then_forecast(spark, tmp_path):
     rows = panel.weekly(spark, SMALL).where("sku_id IN ('Brand#11', 'Brand#12', 'Brand#1', 'Brand#2')")
     rows.write.parquet(str(tmp_path / "weekly"))
     paths = {"data_path": str(tmp_path / "weekly"), "model_dir": str(tmp_path / "m"), "factor_dir": str(tmp_path / "f"), "use_factors": True}
-    meta = run_train(spark, TrainConfig(**paths, use_search=False, params={"maxIter": 2}, val_weeks=30, test_weeks=4))
+    meta = run_train(spark, TrainConfig(**paths, use_search=False, params={"rounds": 2}, val_weeks=30, test_weeks=4))
     assert meta["n_train"] > 0 and "seasonal_factor" in meta["feature_cols"] and not any(c.startswith("qty_growth") for c in meta["feature_cols"])
     assert json.loads((tmp_path / "f" / "seasonal.json").read_text())["states"]
     out = run_forecast(spark, ForecastConfig(**paths, output_path=str(tmp_path / "out"), horizons=(1, 2)))
@@ -29,12 +30,16 @@ def test_train_then_forecast(spark, tmp_path):
     assert out.where("forecast_units < 0").isEmpty()
 
 
-def test_model_store(tmp_path):
+def test_model_store(spark, tmp_path):
+    base = f"file://{tmp_path}/store"
     with pytest.raises(FileNotFoundError):
-        model_store.latest(tmp_path)
+        model_store.latest(base)
     for i in range(10):
-        (tmp_path / f"v{i:02d}").mkdir()
-    assert model_store.rotate(tmp_path, 8) == ["v00", "v01"]
+        model = Trees(Coding(["a"], [], [[0.5]], {}), float(i), 1)
+        model_store.save_model(model, {"n": i}, base, f"v{i:02d}")
+    assert model_store.rotate(base, 8) == ["v00", "v01"]
+    assert model_store.load_latest(base).base == 9.0 and model_store.load_metadata(base)["n"] == 9
+    assert files.folders(base) == [f"v{i:02d}" for i in range(2, 10)]
 
 
 def test_command_line(capsys):

@@ -279,7 +279,7 @@ def test_clusters(spark):
 def test_models_and_explanations(spark):
     df = weeks(spark, [float(10 + 3 * (i % 5)) for i in range(40)], price=100.0, promo_flag=0).transform(weekly.weekly_features).transform(prep.drop_warm_up)
     columns = ["sku_id", "lag_1", "roll_4_mean", "sin_woy"]
-    for fitted in (models.poisson_glm(df, columns, reg=0.1), models.boosted_trees(df, columns, params={"maxIter": 3})):
+    for fitted in (models.poisson_glm(df, columns, reg=0.1), models.boosted_trees(df, columns, params={"rounds": 3})):
         got = fitted.predict(df)
         assert got.where("prediction < 0").isEmpty() and got.count() == df.count()
         assert dict(got.dtypes)["sku_id"] == "string"

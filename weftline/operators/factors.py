@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.sources import files
+
 SCHEMA = "key string, x double, p double"
 
 
@@ -98,16 +99,14 @@ def adjust_predictions(df: DataFrame, pred: str = "prediction") -> DataFrame:
     return df.withColumn(pred, out)
 
 
-def save_states(states: DataFrame, path: str | Path, cfg: FilterConfig = FilterConfig()) -> None:
+def save_states(states: DataFrame, path: str, cfg: FilterConfig = FilterConfig()) -> None:
     """JSON of a state table; it has a key for each week of the year or kind of promotion."""
     rows = states.orderBy("key").collect()
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    target.write_text(json.dumps({"config": asdict(cfg), "states": {r.key: {"x": r.x, "P": r.p} for r in rows}}, indent=2))
+    files.write_text(str(path), json.dumps({"config": asdict(cfg), "states": {r.key: {"x": r.x, "P": r.p} for r in rows}}, indent=2))
 
 
-def load_states(spark: SparkSession, path: str | Path) -> tuple[DataFrame, FilterConfig]:
-    held = json.loads(Path(path).read_text())
+def load_states(spark: SparkSession, path: str) -> tuple[DataFrame, FilterConfig]:
+    held = json.loads(files.read_text(str(path)))
     return spark.createDataFrame([(k, float(s["x"]), float(s["P"])) for k, s in held["states"].items()], SCHEMA), FilterConfig(**held["config"])
 
 

@@ -7,14 +7,16 @@ from collections.abc import Callable, Iterable
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.expr import wape
+from weftline.operators import boosting
 from weftline.operators.daily import LAST_COLUMNS, TIME_COLUMNS
 from weftline.operators.growth import CONTEMPORANEOUS
 
+#: The names of the columns that are features, in the registry's order.
 CATEGORICAL = ["sku_id", "branch_id", "brand_type", "branch_type", "channel", "store_type", "display_capacity_type", "service_scale", "promo_type_major"]
 CORE = ["price", "promo_flag", "sin_woy", "cos_woy", "lag_1", "lag_2", "lag_4", "roll_4_mean", "ema_4"]
 GROWTH = ["qty_growth_1w", "qty_growth_4w", "category_growth_1w", "category_growth_4w", "subcat_growth_1w", "subcat_growth_4w", "qty_growth_1w_bin", "qty_growth_4w_bin"]
@@ -62,17 +64,9 @@ def poisson_glm(train: DataFrame, features: list[str], target: str = "units", re
     return Fitted(Pipeline(stages=[*_encoder(features), glm]).fit(_filled(train, features)), features)
 
 
-#: The boosted trees' defaults; ``validation`` names a boolean column of rows that stop the rounds early.
-TREES = {"maxIter": 40, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 1}
-
-
-def boosted_trees(train: DataFrame, features: list[str], target: str = "units", params: dict | None = None, validation: str | None = None, seed: int = 42) -> Fitted:
-    kinds = [c for c in features if c in CATEGORICAL]
-    bins = max([32, *(r + 2 for r in train.agg(*(F.countDistinct(c) for c in kinds)).first())]) if kinds else 32
-    gbt = GBTRegressor(labelCol=target, featuresCol="features", maxBins=bins, seed=seed, **TREES | (params or {}))
-    if validation is not None:
-        gbt = gbt.setValidationIndicatorCol(validation)
-    return Fitted(Pipeline(stages=[*_encoder(features), gbt]).fit(_filled(train, features)), features)
+def boosted_trees(train: DataFrame, features: list[str], target: str = "units", params: dict | None = None, validation: str | None = None, seed: int = 42) -> boosting.Trees:
+    """Poisson trees; ``validation`` names a boolean column of rows that stop the rounds early."""
+    return boosting.fit(train, features, [c for c in features if c in CATEGORICAL], target, params, validation, seed)
 
 
 def time_folds(df: DataFrame, folds: int = 3, time_col: str = "week") -> DataFrame:
@@ -82,49 +76,97 @@ def time_folds(df: DataFrame, folds: int = 3, time_col: str = "week") -> DataFra
     return df.join(F.broadcast(place), time_col)
 
 
-def param_search(df: DataFrame, features: list[str], target: str = "units", trials: int = 5, folds: int = 3, seed: int = 42) -> list[tuple[float, dict]]:
-    """(mean WAPE, parameters) of random trials over expanding folds, the best first; the folds are written once in memory."""
-    rng, rows = np.random.default_rng(seed), time_folds(df, folds).persist()
-    out = []
-    for _ in range(trials):
-        params = {"maxDepth": int(rng.integers(2, 7)), "maxIter": int(rng.integers(5, 25)), "stepSize": float(10 ** rng.uniform(-2, -0.5)), "subsamplingRate": float(rng.uniform(0.5, 1.0)), "minInstancesPerNode": int(rng.integers(1, 10))}
-        scores = [boosted_trees(rows.where(F.col("fold") < f), features, target, params, seed=seed).predict(rows.where(F.col("fold") == f)).agg(wape(F.col(target), F.col("prediction"))).first()[0] for f in range(1, folds + 1)]
-        out.append((float(np.mean([s for s in scores if s is not None])), params))
-    rows.unpersist()
-    return sorted(out, key=lambda x: x[0])
+#: Rows that a search is run on, chosen by hash; a trial's work is bounded, and trials run side by side.
+SEARCH_ROWS = 20_000
+SEARCH_ROUNDS = {"rounds": 200, "stop": 20}
+
+
+def drawn_params(rng: np.random.Generator) -> dict:
+    """One point of the search space: the eight parameters, in their ranges."""
+    log = lambda low, high: float(np.exp(rng.uniform(np.log(low), np.log(high))))
+    return {
+        "max_depth": int(rng.integers(4, 11)),
+        "eta": log(0.01, 0.3),
+        "subsample": float(rng.uniform(0.6, 1.0)),
+        "colsample_bytree": float(rng.uniform(0.6, 1.0)),
+        "min_child_weight": float(rng.uniform(1, 10)),
+        "max_delta_step": int(rng.integers(0, 11)),
+        "reg_alpha": log(1e-3, 10.0),
+        "reg_lambda": log(1e-3, 10.0),
+    }
+
+
+def param_search(df: DataFrame, features: list[str], target: str = "units", trials: int = 50, folds: int = 3, seed: int = 42, rows: int = SEARCH_ROWS) -> list[tuple[float, dict]]:
+    """(mean WAPE, parameters) of random trials over expanding folds of whole weeks, the best first.
+
+    Every trial is a task of its own on the same coded sample of at most about ``rows`` rows, which is broadcast.
+    """
+    spark, rng = df.sparkSession, np.random.default_rng(seed)
+    points = [drawn_params(rng) for _ in range(trials)]
+    dealt = time_folds(df.where(F.col(target).isNotNull()), folds)
+    share = rows / max(dealt.count(), 1)
+    if share < 1:
+        dealt = dealt.where(F.pmod(F.xxhash64(*df.columns, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    how = boosting.coding(dealt, features, [c for c in features if c in CATEGORICAL], target)
+    # The fold takes the place of the stop mark.
+    held = [boosting.gathered(boosting.coded(dealt.withColumn("_in", F.col("fold") == f), how, target, "_in"), len(features)) for f in range(1, folds + 1)]
+    fold = np.zeros(len(held[0][1]) if held else 0, np.int64)
+    for f, (_, _, _, mine) in enumerate(held, 1):
+        fold[mine] = f
+    codes, y, keys, _ = held[0]
+    shared = spark.sparkContext.broadcast((how, codes, y, keys, fold, points))
+
+    def run(batches):
+        import pyarrow as pa
+
+        how, codes, y, keys, fold, points = shared.value
+        for batch in batches:
+            scores = []
+            for i in batch.column(0).to_pylist():
+                found = []
+                for f in range(1, folds + 1):
+                    at, val = fold <= f, fold == f
+                    if not val.any() or not (fold < f).any():
+                        continue
+                    base = float(np.log(max(y[fold < f].mean(), 1e-6)))
+                    model = boosting.boost(boosting.LocalRows(codes[at], y[at], keys[at], val[at], base), how, base, SEARCH_ROUNDS | points[i], seed)
+                    found.append(np.abs(y[val] - np.exp(model.margin(codes[val]))).sum() / (np.abs(y[val]).sum() + 1e-6))
+                scores.append(float(np.mean(found)) if found else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["trial", "wape"])
+
+    done = spark.range(trials).repartition(trials, "id").mapInArrow(run, "trial bigint, wape double").collect()
+    return sorted(((r.wape, points[r.trial]) for r in done if r.wape is not None), key=lambda x: x[0])
 
 
 def permutation_importance(predict: Callable[[DataFrame], DataFrame], df: DataFrame, features: list[str], target: str = "units", repeats: int = 5, seed: int = 42) -> DataFrame:
     """(feature, importance, deviation): how much WAPE rises when a feature's values change places.
 
-    Values move between rows by joining two random orders within buckets of rows, so no task sorts them all.
+    Values move between rows by joining two random orders within buckets of rows, so no task sorts them all: one
+    join a repeat serves all features. Every moved feature of every repeat is then scored in one job.
     """
-    spark = df.sparkSession
-    base = predict(df).agg(wape(F.col(target), F.col("prediction"))).first()[0]
+    spark, columns = df.sparkSession, df.columns
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
-    rows = []
-    for f in features:
-        rises = []
-        for r in range(repeats):
-            a = df.withColumn("_b", F.pmod(F.xxhash64(*df.columns, F.lit(seed + r)), F.lit(buckets)))
-            left = a.withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy(F.xxhash64(*df.columns, F.lit(seed + r)))))
-            right = a.withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy(F.xxhash64(*df.columns, F.lit(seed - r - 1))))).select("_b", "_n", F.col(f).alias("_v"))
-            moved = left.join(right, ["_b", "_n"]).withColumn(f, F.col("_v")).select(*df.columns)
-            rises.append(predict(moved).agg(wape(F.col(target), F.col("prediction"))).first()[0] - base)
-        rows.append((f, float(np.mean(rises)), float(np.std(rises))))
-    return spark.createDataFrame(rows, "feature string, importance double, deviation double")
+    base = predict(df).agg(wape(F.col(target), F.col("prediction"))).first()[0]
+    rank = lambda salt: F.row_number().over(Window.partitionBy("_b").orderBy(F.xxhash64(*columns, F.lit(salt))))
+    moved = None
+    for r in range(repeats):
+        dealt = df.withColumn("_b", F.pmod(F.xxhash64(*columns, F.lit(seed + r)), F.lit(buckets)))
+        right = dealt.withColumn("_n", rank(-seed - r - 1)).select("_b", "_n", F.struct(*features).alias("_v"))
+        both = dealt.withColumn("_n", rank(seed + r)).join(right, ["_b", "_n"]).withColumn("_r", F.lit(r))
+        moved = both if moved is None else moved.union(both)
+    moved = moved.withColumn("_f", F.explode(F.array(*(F.lit(f) for f in features))))
+    moved = moved.withColumns({f: F.when(F.col("_f") == f, F.col("_v")[f]).otherwise(F.col(f)) for f in features}).drop("_b", "_n", "_v")
+    rises = predict(moved).groupBy("_f", "_r").agg((wape(F.col(target), F.col("prediction")) - F.lit(base)).alias("rise"))
+    return rises.groupBy(F.col("_f").alias("feature")).agg(F.avg("rise").alias("importance"), F.stddev_pop("rise").alias("deviation"))
 
 
 def select_top_features(importances: DataFrame, threshold: float = 0.0) -> DataFrame:
     return importances.where(F.col("importance") > threshold)
 
 
-def feature_importances(fitted: Fitted, df: DataFrame) -> DataFrame:
-    """(feature, importance) of a tree model: the global summary table."""
-    kinds = [c for c in fitted.features if c in CATEGORICAL]
-    order = [*kinds, *(c for c in fitted.features if c not in kinds)]
-    values = fitted.model.stages[-1].featureImportances.toArray()
-    return df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(order, values, strict=True)], "feature string, importance double")
+def feature_importances(fitted: boosting.Trees, df: DataFrame) -> DataFrame:
+    """(feature, importance): each feature's share of the trees' gains."""
+    return df.sparkSession.createDataFrame(fitted.importances(), "feature string, importance double")
 
 
 def partial_dependence(predict: Callable[[DataFrame], DataFrame], df: DataFrame, feature: str, grid: Iterable[float], individual: bool = False, keys: Iterable[str] = ()) -> DataFrame:

@@ -6,15 +6,15 @@ import logging
 import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
-from pathlib import Path
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.expr import mae, wape
 from weftline.operators import daily, decisions, factors, growth, models, prep, weekly
 from weftline.operators.rollout import rollout
-from weftline.sources import model_store, tables
+from weftline.sources import files, model_store, tables
 
 log = logging.getLogger(__name__)
 
@@ -72,8 +72,8 @@ def features(df: DataFrame, spark: SparkSession, cfg: TrainConfig | ForecastConf
 
 
 def _states(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, factors.FilterConfig]:
-    path = Path(folder) / f"{name}.json"
-    return factors.load_states(spark, path) if path.exists() else (factors.empty_states(spark), factors.FilterConfig())
+    path = f"{folder}/{name}.json"
+    return factors.load_states(spark, path) if files.exists(path) else (factors.empty_states(spark), factors.FilterConfig())
 
 
 def with_factors(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
@@ -86,7 +86,7 @@ def update_factors(scored: DataFrame, spark: SparkSession, folder: str) -> None:
     observers = [("seasonal", factors.observe_seasonal)] + ([("promo", factors.observe_promo)] if "promo_type" in scored.columns else [])
     for name, observe in observers:
         states, cfg = _states(spark, folder, name)
-        factors.save_states(factors.update(states, observe(scored, pred="prediction"), cfg), Path(folder) / f"{name}.json", cfg)
+        factors.save_states(factors.update(states, observe(scored, pred="prediction"), cfg), f"{folder}/{name}.json", cfg)
 
 
 def run_train(spark: SparkSession, cfg: TrainConfig) -> dict:
@@ -110,7 +110,7 @@ def run_train(spark: SparkSession, cfg: TrainConfig) -> dict:
         update_factors(scored, spark, cfg.factor_dir)
     version = f"v{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"
     metadata = {"version": version, "baseline_wape": baseline, "model_wape": found.w, "model_mae": found.m, "best_params": params, "feature_cols": columns, "n_train": train.count(), "n_val": val.count(), "config": asdict(cfg)}
-    model_store.save_model(fitted.model, metadata, cfg.model_dir, version)
+    model_store.save_model(fitted, metadata, cfg.model_dir, version)
     model_store.rotate(cfg.model_dir, cfg.keep_versions)
     scored.unpersist()
     rows.unpersist()
@@ -120,7 +120,8 @@ def run_train(spark: SparkSession, cfg: TrainConfig) -> dict:
 def run_forecast(spark: SparkSession, cfg: ForecastConfig) -> DataFrame:
     """Forecasts every scenario and writes the result."""
     meta = model_store.load_metadata(cfg.model_dir)
-    fitted = models.Fitted(model_store.load_latest(cfg.model_dir), meta["feature_cols"])
+    held = model_store.load_latest(cfg.model_dir)
+    fitted = models.Fitted(held, meta["feature_cols"]) if isinstance(held, PipelineModel) else held
     df = prepared(spark, cfg.data_path)
     if cfg.impute_stockouts:
         df = prep.impute_stockouts(df)

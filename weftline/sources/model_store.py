@@ -1,45 +1,49 @@
-"""Versioned model artifacts with metadata, a pointer to the latest, and rotation."""
+"""Versioned model artifacts with metadata, a pointer to the latest, and rotation, wherever Spark can write."""
 
 from __future__ import annotations
 
 import json
-import shutil
-from pathlib import Path
 
 from pyspark.ml import PipelineModel
 
+from weftline.operators.boosting import Trees
+from weftline.sources import files
+
 POINTER = "LATEST"
 KEEP = 8
 
 
-def save_model(model: PipelineModel, metadata: dict, base: str | Path, version: str) -> Path:
-    target = Path(base) / version
-    target.mkdir(parents=True, exist_ok=True)
-    model.write().overwrite().save(str(target / "model"))
-    (target / "metadata.json").write_text(json.dumps({"version": version, **metadata}, indent=2, default=str))
-    (Path(base) / POINTER).write_text(version)
+def save_model(model: PipelineModel | Trees, metadata: dict, base: str, version: str) -> str:
+    target = f"{base}/{version}"
+    if isinstance(model, Trees):
+        files.write_text(f"{target}/trees.json", model.to_json())
+    else:
+        model.write().overwrite().save(f"{target}/model")
+    files.write_text(f"{target}/metadata.json", json.dumps({"version": version, **metadata}, indent=2, default=str))
+    # The pointer moves last: whoever follows it finds a whole version.
+    files.write_text(f"{base}/{POINTER}", version)
     return target
 
 
-def latest(base: str | Path) -> Path:
-    pointer = Path(base) / POINTER
-    if not pointer.exists():
+def latest(base: str) -> str:
+    if not files.exists(f"{base}/{POINTER}"):
         raise FileNotFoundError(f"No latest model in {base}")
-    return Path(base) / pointer.read_text().strip()
+    return f"{base}/{files.read_text(f'{base}/{POINTER}').strip()}"
 
 
-def load_latest(base: str | Path) -> PipelineModel:
-    return PipelineModel.load(str(latest(base) / "model"))
+def load_latest(base: str) -> PipelineModel | Trees:
+    at = latest(base)
+    return Trees.from_json(files.read_text(f"{at}/trees.json")) if files.exists(f"{at}/trees.json") else PipelineModel.load(f"{at}/model")
 
 
-def load_metadata(base: str | Path) -> dict:
-    return json.loads((latest(base) / "metadata.json").read_text())
+def load_metadata(base: str) -> dict:
+    return json.loads(files.read_text(f"{latest(base)}/metadata.json"))
 
 
-def rotate(base: str | Path, keep: int = KEEP) -> list[str]:
+def rotate(base: str, keep: int = KEEP) -> list[str]:
     """Removes all but the ``keep`` last versions by name; returns what went."""
-    versions = sorted((p for p in Path(base).glob("v*") if p.is_dir()), key=lambda p: p.name)
+    versions = [v for v in files.folders(base) if v.startswith("v")]
     gone = versions[: max(0, len(versions) - keep)]
-    for p in gone:
-        shutil.rmtree(p)
-    return [p.name for p in gone]
+    for v in gone:
+        files.remove(f"{base}/{v}")
+    return gone
