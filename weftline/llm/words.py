@@ -1,6 +1,6 @@
 """Vectorised words: 64-bit hashes of the words of many texts, with NumPy over their UTF-8 bytes.
 
-No Python string is made for a word. Texts are taken in blocks of about a megabyte, cut at
+No Python string is made for a word. Texts are taken in blocks of about half a megabyte, cut at
 separators, so that memory stays bounded for any length of text.
 """
 
@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
