@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from weftline.functions import quantiles
 from weftline.functions.expr import mae, mape, mdape, right_closed_bin, wape
 from weftline.operators import daily, decisions, factors, growth, models, prep, promo, stores, weekly
 from weftline.operators.rollout import rollout, rule_model
@@ -59,6 +60,19 @@ def test_averages_share_one_exchange(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("cells", [3, 256])
+def test_quantiles_are_exact(spark, monkeypatch, cells):
+    monkeypatch.setattr(quantiles, "CELLS", cells)
+    rng = random.Random(cells)
+    rows = [(rng.choice([0.0, -1.5, rng.gauss(0, 1)]), rng.choice([None, float(rng.randint(0, 3))]), None) for _ in range(999)]
+    df = spark.createDataFrame(rows, "a double, b double, none double")
+    shares = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    got = quantiles.exact_quantiles(df, {c: F.col(c) for c in df.columns}, shares)
+    for i, c in enumerate("ab"):
+        assert got[c] == pytest.approx(list(pd.Series([r[i] for r in rows], dtype=float).quantile(shares)))
+    assert got["none"] == [None] * 6
+
+
 def test_future_rows_change_nothing_before_them(spark):
     short = {r.week: r for r in weekly.lag_features(weeks(spark, [5, 6, 7])).collect()}
     long = {r.week: r for r in weekly.lag_features(weeks(spark, [5, 6, 7, 99, 100])).collect()}
@@ -190,7 +204,7 @@ def test_right_closed_bins(spark):
 
 def test_metrics(spark):
     df = spark.createDataFrame([(10.0, 8.0), (10.0, 12.0)], "y double, p double")
-    got = df.agg(*(f(F.col("y"), F.col("p")) for f in (wape, mae, mape, mdape))).first()
+    got = [*df.agg(*(f(F.col("y"), F.col("p")) for f in (wape, mae, mape))).first(), mdape(df, F.col("y"), F.col("p"))]
     assert got == pytest.approx((0.2, 2.0, 0.2, 0.2), abs=1e-6)
     zero = spark.createDataFrame([(0.0, 1.0)], "y double, p double").agg(wape(F.col("y"), F.col("p"))).first()[0]
     assert math.isfinite(zero)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftline.functions.quantiles import exact_quantiles
+
 
 def num(c: Column | str) -> Column:
     """As double, with bad and missing values as 0."""
@@ -44,5 +46,6 @@ def mape(y: Column, p: Column, eps: float = 1e-6) -> Column:
     return F.avg(_relative(y, p, eps))
 
 
-def mdape(y: Column, p: Column, eps: float = 1e-6) -> Column:
-    return F.median(_relative(y, p, eps))
+def mdape(df, y: Column, p: Column, eps: float = 1e-6) -> float | None:
+    """The median of a whole table, exact, so not one aggregate beside others."""
+    return exact_quantiles(df, {"e": _relative(y, p, eps)}, [0.5])["e"][0]

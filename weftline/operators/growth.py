@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.expr import finite_or_zero
+from weftline.functions.quantiles import exact_quantiles
 from weftline.operators.prep import SERIES
 from weftline.operators.weekly import series_window
 
@@ -43,15 +44,10 @@ def growth_features(df: DataFrame, target: str = "units", keys: Iterable[str] =
 
 
 def growth_bins(df: DataFrame, columns: Iterable[str] = ("qty_growth_1w", "qty_growth_4w"), bins: int = 5) -> DataFrame:
-    """Bins between the exact quantiles (missing as 0); repeated edges fall together. The edges are one row."""
+    """Bins between the exact quantiles (missing as 0), which are found first; repeated edges fall together."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    shares = F.array(*(F.lit(i / bins) for i in range(bins + 1)))
-    edges = df.agg(*(F.array_distinct(F.percentile(finite_or_zero(F.col(c)), shares)).alias(f"_{c}") for c in columns))
-    out = df.join(F.broadcast(edges))
-    for c in columns:
-        inner = F.slice(f"_{c}", F.lit(2), F.greatest(F.size(f"_{c}") - 2, F.lit(0)))
-        value = finite_or_zero(F.col(c))
-        out = out.withColumn(f"{c}_bin", F.size(F.filter(inner, lambda e: e <= value)))  # noqa: B023
-    return out.drop(*(f"_{c}" for c in columns))
+    found = exact_quantiles(df, {c: finite_or_zero(F.col(c)) for c in columns}, [i / bins for i in range(bins + 1)])
+    inner = {c: sorted({x for x in edges if x is not None})[1:-1] for c, edges in found.items()}
+    return df.withColumns({f"{c}_bin": sum(((finite_or_zero(F.col(c)) >= x).cast("int") for x in inner[c]), F.lit(0)) for c in columns})

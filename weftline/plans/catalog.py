@@ -321,7 +321,8 @@ def seasonal_naive(spark, sf):
   {R('avg(abs(units - prediction) / greatest(abs(units), 1e-6::DOUBLE))', 'mape')}, {R('median(abs(units - prediction) / greatest(abs(units), 1e-6::DOUBLE))', 'mdape')} FROM pred""")
 def forecast_metrics(spark, sf):
     y, p = F.col("units"), F.col("prediction")
-    return shown(predicted(spark, sf).agg(wape(y, p).alias("wape"), mae(y, p).alias("mae"), mape(y, p).alias("mape"), mdape(y, p).alias("mdape")), "wape", "mae", "mape", "mdape")
+    rows = predicted(spark, sf)
+    return shown(rows.agg(wape(y, p).alias("wape"), mae(y, p).alias("mae"), mape(y, p).alias("mape"), F.lit(mdape(rows, y, p)).alias("mdape")), "wape", "mae", "mape", "mdape")
 
 
 @query(f"""WITH {panel.WEEKLY}{LEAD}{PRED}, g AS (SELECT sku_id, branch_id, lead_time_weeks, sum(prediction) AS demand_lt, coalesce(stddev_samp(prediction), 0) AS sigma, arg_min(on_hand, week) AS on_hand FROM pred GROUP BY 1, 2, 3),
@@ -430,10 +431,33 @@ def poisson_glm(spark, sf):
 @query()
 def gbt_forecast(spark, sf):
     rows = training_frame(spark, sf)
-    fitted = models.boosted_trees(rows.where("split = 'train'"), MODEL_FEATURES)
+    known = rows.where("split <> 'test'").withColumn("_stop", F.col("split") == "val")
+    fitted = models.boosted_trees(known, MODEL_FEATURES, validation="_stop")
     return shown(rollout(w.time_features(panel.weekly(spark, sf)), fitted.predict), "week", *KEYS, "horizon", "forecast_units")
 
 
+@query()
+def shap_summary(spark, sf):
+    rows = training_frame(spark, sf)
+    fitted = models.boosted_trees(rows.where("split = 'train'"), MODEL_FEATURES, params={"rounds": 60})
+    return shown(fitted.shap_summary(rows.where("split = 'val'")), "feature", "mean_abs_shap", "mean_shap")
+
+
+@query(f"""WITH {panel.WEEKLY}, f AS (SELECT week, ntile(4) OVER (ORDER BY week) - 1 AS fold FROM (SELECT DISTINCT week FROM panel))
+SELECT {WEEK}, sku_id, branch_id, CAST(fold AS INTEGER) AS fold FROM panel JOIN f USING (week)""")
+def time_folds(spark, sf):
+    return shown(models.time_folds(panel.weekly(spark, sf)), "week", *KEYS, "fold")
+
+
+@query(f"""WITH {panel.WEEKLY}, f AS (SELECT avg(units) {over('4 PRECEDING AND 1 PRECEDING')} AS r, lag(units, 1) OVER {S} AS l FROM panel)
+SELECT g AS grid, {R('avg(0.5::DOUBLE * g + 0.25::DOUBLE * coalesce(r, 0))', 'prediction')} FROM f, (SELECT unnest([25.0, 50.0, 100.0]::DOUBLE[]) AS g) GROUP BY g""")
+def pdp_rule_model(spark, sf):
+    """Partial dependence of a model that is a formula."""
+    rows = w.lag_features(panel.weekly(spark, sf))
+    rule = lambda df: df.withColumn("prediction", 0.5 * F.col("lag_1") + 0.25 * F.coalesce("roll_4_mean", F.lit(0.0)))
+    return shown(models.partial_dependence(rule, rows, "lag_1", [25.0, 50.0, 100.0]), "grid", "prediction")
+
+
 @query()
 def store_clusters(spark, sf):
     profiles = stores.store_profiles(panel.weekly(spark, sf).withColumnRenamed("promo_flag", "promo"))
