@@ -212,9 +212,13 @@ def _drawn(keys: np.ndarray, number: int, share: float) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) >> np.uint64(11)).astype(float) / (1 << 53) < share
 
 
-def _sums(codes: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, nodes: int) -> np.ndarray:
-    """(2 x nodes x features x BINS): sums of gradients and curvatures."""
-    n, f = codes.shape
+def _sums(codes: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, level: int, active: np.ndarray) -> np.ndarray:
+    """(2 x active nodes x features x BINS): sums of gradients and curvatures of the level's nodes that may be split."""
+    place = np.full(2**level, -1)
+    place[active] = np.arange(len(active))
+    node, nodes = place[node], len(active)
+    codes, node, g, h = (x[node >= 0] for x in (codes, node, g, h))
+    f = codes.shape[1]
     key = (node[:, None] * (f * BINS) + np.arange(f) * BINS + codes).ravel()
     return np.stack([np.bincount(key, np.repeat(x, f), nodes * f * BINS) for x in (g, h)]).reshape(2, nodes, f, BINS)
 
@@ -236,12 +240,12 @@ class LocalRows:
         self.stop_codes, self.stop_y = codes[stop], y[stop]
         self.margin, self.stop_margin = np.full(len(self.y), base), np.full(len(self.stop_y), base)
 
-    def level(self, tree: Tree, level: int, number: int, share: float, step: float) -> np.ndarray:
+    def level(self, tree: Tree, level: int, active: np.ndarray, number: int, share: float, step: float) -> np.ndarray:
         if level == 0:
             self.at = np.flatnonzero(_drawn(self.keys, number, share))
             self.g, self.h = (x[self.at] for x in _poisson(self.y, self.margin, step))
             self.drawn = self.codes[self.at]
-        return _sums(self.drawn, tree.nodes(self.drawn, level), self.g, self.h, 2**level)
+        return _sums(self.drawn, tree.nodes(self.drawn, level), self.g, self.h, level, active)
 
     def add(self, tree: Tree, depth: int) -> float | None:
         """Takes the tree in; the loss of the rows that tell when to stop."""
@@ -263,24 +267,24 @@ class SparkRows:
         margin = batch.column("margin").to_numpy() + sum((np.array(t.leaves)[t.nodes(codes, depth)] for t in fresh), np.zeros(len(codes)))
         return codes, batch.column("y").to_numpy(), batch.column("key").to_numpy().view(np.uint64), batch.column("stop").to_numpy(zero_copy_only=False).astype(bool), margin
 
-    def level(self, tree: Tree, level: int, number: int, share: float, step: float) -> np.ndarray:
+    def level(self, tree: Tree, level: int, active: np.ndarray, number: int, share: float, step: float) -> np.ndarray:
         fresh, read, f = list(self.fresh), self._plain(), self.features
         depth = self.depth
 
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((2, 2**level, f, BINS))
+            total = np.zeros((2, len(active), f, BINS))
             for batch in batches:
                 codes, y, keys, stop, margin = read(batch, fresh, depth)
                 at = np.flatnonzero(~stop & _drawn(keys, number, share))
                 if len(at):
                     g, h = _poisson(y[at], margin[at], step)
-                    total += _sums(codes[at], tree.nodes(codes[at], level), g, h, 2**level)
-            yield pa.RecordBatch.from_arrays([pa.array(range(2**level), pa.int32()), pa.array([total[:, i].tobytes() for i in range(2**level)], pa.binary())], ["node", "sums"])
+                    total += _sums(codes[at], tree.nodes(codes[at], level), g, h, level, active)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(active)), pa.int32()), pa.array([total[:, i].tobytes() for i in range(len(active))], pa.binary())], ["node", "sums"])
 
         def add(group: pa.Table) -> pa.Table:
             return pa.table({"node": group.column("node").slice(0, 1), "sums": pa.array([sum(np.frombuffer(x) for x in group.column("sums").to_pylist()).tobytes()], pa.binary())})
 
-        out = np.zeros((2, 2**level, f, BINS))
+        out = np.zeros((2, len(active), f, BINS))
         for r in self.rows.mapInArrow(part, "node int, sums binary").groupBy("node").applyInArrow(add, "node int, sums binary").collect():
             out[:, r["node"]] = np.frombuffer(r["sums"]).reshape(2, f, BINS)
         return out
@@ -328,24 +332,35 @@ def boost(rows: LocalRows | SparkRows, coding_: Coding, base: float, params: dic
         inner = 2**depth - 1
         tree = Tree([0] * inner, [BINS] * inner, [0.0] * (2 * inner + 1), [0.0] * (inner + 1), [0.0] * inner)
         grads = [0.0] * (2 * inner + 1)
+        active = np.zeros(1, np.int64)
         for level in range(depth):
-            sums = rows.level(tree, level, number, p["subsample"], step)
+            sums = rows.level(tree, level, active, number, p["subsample"], step)
             left = sums.cumsum(axis=3)
             total = left[:, :, :1, -1:]
             gl, hl = left[0, :, :, :-1], left[1, :, :, :-1]
             gr, hr = total[0] - gl, total[1] - hl
             gain = soft(gl) ** 2 / (hl + p["reg_lambda"]) + soft(gr) ** 2 / (hr + p["reg_lambda"]) - soft(total[0]) ** 2 / (total[1] + p["reg_lambda"])
-            gain = np.where((hl >= p["min_child_weight"]) & (hr >= p["min_child_weight"]) & used[None, :, None], gain, -1.0).reshape(2**level, -1)
+            gain = np.where((hl >= p["min_child_weight"]) & (hr >= p["min_child_weight"]) & used[None, :, None], gain, -1.0).reshape(len(active), -1)
+            if level == 0:
+                grads[0], tree.cover[0] = float(total[0, 0, 0, 0]), float(total[1, 0, 0, 0])
             for k, top in enumerate(gain.argmax(axis=1).tolist()):
-                at = 2**level - 1 + k
-                g, h = float(total[0, k, 0, 0]), float(total[1, k, 0, 0])
-                grads[at], tree.cover[at] = g, h
+                at = 2**level - 1 + int(active[k])
                 if gain[k, top] > 1e-9:
                     tree.feature[at], tree.cut[at], tree.gain[at] = top // (BINS - 1), top % (BINS - 1), float(gain[k, top])
-                    g, h = float(gl.reshape(2**level, -1)[k, top]), float(hl.reshape(2**level, -1)[k, top])
-                # A node that isn't split sends all its rows left.
-                for child, x, c in ((2 * at + 1, g, h), (2 * at + 2, grads[at] - g, max(tree.cover[at] - h, 0.0))):
-                    grads[child], tree.cover[child] = (x, c) if child == 2 * at + 1 or tree.cut[at] < BINS else (0.0, 0.0)
+                    g, h = float(gl.reshape(len(active), -1)[k, top]), float(hl.reshape(len(active), -1)[k, top])
+                    for child, x, c in ((2 * at + 1, g, h), (2 * at + 2, grads[at] - g, max(tree.cover[at] - h, 0.0))):
+                        grads[child], tree.cover[child] = x, c
+            # A node that isn't split sends all its rows left, down to a leaf.
+            for at in range(2**level - 1, 2 ** (level + 1) - 1):
+                if tree.cut[at] == BINS:
+                    grads[2 * at + 1], tree.cover[2 * at + 1] = grads[at], tree.cover[at]
+            split = [k for k in active if tree.cut[2**level - 1 + k] < BINS]
+            active = np.array([2 * k + side for k in split for side in (0, 1) if tree.cover[2 ** (level + 1) - 1 + 2 * k + side] >= 2 * p["min_child_weight"]], np.int64)
+            if not len(active):
+                # The rest of the levels hand down what is there.
+                for at in range(2 ** (level + 1) - 1, inner):
+                    grads[2 * at + 1], tree.cover[2 * at + 1] = grads[at], tree.cover[at]
+                break
         values = [float(np.clip(-soft(grads[inner + i]) / (tree.cover[inner + i] + p["reg_lambda"]), -step, step)) if tree.cover[inner + i] else 0.0 for i in range(inner + 1)]
         tree.leaves = [p["eta"] * v for v in values]
         model.trees.append(tree)

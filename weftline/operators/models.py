@@ -77,7 +77,7 @@ def time_folds(df: DataFrame, folds: int = 3, time_col: str = "week") -> DataFra
 
 
 #: Rows that a search is run on, chosen by hash; a trial's work is bounded, and trials run side by side.
-SEARCH_ROWS = 20_000
+SEARCH_ROWS = 10_000
 SEARCH_ROUNDS = {"rounds": 200, "stop": 20}
 
 
