@@ -1,6 +1,8 @@
 """End to end: training, forecasting, the model store, the command line, the stream and the catalog."""
 
 import json
+import sys
+from types import ModuleType
 
 import duckdb
 import pytest
@@ -10,7 +12,7 @@ from weftline.operators.boosting import Coding, Trees
 from weftline.operators.factors import FilterConfig
 from weftline.plans import catalog, panel
 from weftline.plans.jobs import ForecastConfig, TrainConfig, run_forecast, run_train
-from weftline.sources import files, model_store
+from weftline.sources import files, model_store, plots
 from weftline.streaming.factor_stream import stream_states
 
 SMALL = "/root/testdata/sf0.001"
@@ -62,7 +64,7 @@ def test_stream_of_observations(spark, tmp_path):
     assert got["a", 1] == pytest.approx(1 + gain * 0.2) and got["a", 2] > got["a", 1] and got["b", 0] == 1.0
 
 
-@pytest.mark.parametrize("name", ["promo_depth", "weekly_lag_features", "stockout_impute", "daily_to_weekly", "promo_depth_curve", "kalman_fold", "rollout_blend_model"])
+@pytest.mark.parametrize("name", ["promo_depth", "weekly_lag_features", "stockout_impute", "daily_to_weekly", "promo_depth_curve", "kalman_fold", "rollout_blend_model", "validated_panel", "feature_projection", "profile_z_scores", "holiday_file", "forecast_sink", "factor_store", "model_versions"])
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
     for t in ("lineitem", "part", "supplier", "nation", "region", "events"):
@@ -77,3 +79,48 @@ def test_queries_match_their_sql(spark, name):
 def test_filters_and_columns_reach_the_scan(spark):
     plan = panel.weekly(spark, SMALL).select("week", "units")._jdf.queryExecution().executedPlan().toString()
     assert "l_tax" not in plan and "l_linenumber" not in plan
+
+
+class _Figure:
+    """What the sinks use of a figure; savefig writes the calls."""
+
+    def __init__(self, **_):
+        self.calls = []
+
+    def add_subplot(self):
+        return self
+
+    def barh(self, names, values):
+        self.calls.append(list(zip(names, values, strict=True)))
+
+    def plot(self, x, y, marker):
+        self.calls.append(list(zip(x, y, strict=True)))
+
+    def set_xlabel(self, name):
+        pass
+
+    set_ylabel = set_xlabel
+
+    def savefig(self, out, format, dpi):  # noqa: A002
+        out.write(json.dumps(self.calls).encode())
+
+
+def test_figures_are_written_in_order(spark, tmp_path, monkeypatch):
+    figure = ModuleType("matplotlib.figure")
+    figure.Figure = _Figure
+    monkeypatch.setitem(sys.modules, "matplotlib", ModuleType("matplotlib"))
+    monkeypatch.setitem(sys.modules, "matplotlib.figure", figure)
+    read = lambda p: json.loads(files.read_text(p))
+    summary = spark.createDataFrame([("a", 2.0, 1.0), ("b", 1.0, 1.0), ("c", 2.0, 0.0)], "feature string, mean_abs_shap double, mean_shap double")
+    assert read(plots.shap_png(summary, f"{tmp_path}/s.png")) == [[["b", 1.0], ["c", 2.0], ["a", 2.0]]]
+    row = spark.createDataFrame([("a", 0.5), ("b", -2.0)], "feature string, shap double")
+    assert read(plots.row_shap_png(row, f"{tmp_path}/r.png")) == [[["a", 0.5], ["b", -2.0]]]
+    table = spark.createDataFrame([(2.0, 5.0), (1.0, 4.0)], "grid double, prediction double")
+    assert read(plots.pdp_png(table, "a", f"{tmp_path}/p.png")) == [[[1.0, 4.0], [2.0, 5.0]]]
+    assert plots.pdp_png(table.limit(0), "a", f"{tmp_path}/e.png")
+
+
+def test_figures_name_what_is_missing(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(sys.modules, "matplotlib.figure", None)
+    with pytest.raises(RuntimeError, match="matplotlib"):
+        plots.pdp_png(spark.createDataFrame([(1.0, 1.0)], "grid double, prediction double"), "a", f"{tmp_path}/p.png")

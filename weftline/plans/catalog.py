@@ -8,16 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.expr import mae, mape, mdape, wape
+from weftline.operators import boosting
 from weftline.operators import daily as d
 from weftline.operators import decisions, factors, growth, models, prep, promo, stores
 from weftline.operators import weekly as w
 from weftline.operators.rollout import rollout, rule_model
 from weftline.plans import panel
-from weftline.sources import tables
+from weftline.sources import files, model_store, tables
 
 FLAGSHIP = "weekly_lag_features"
 KEYS = ["sku_id", "branch_id"]
@@ -483,3 +485,67 @@ def param_search(spark, sf):
     rows = training_frame(spark, sf).where("split = 'train'")
     found = models.param_search(rows, MODEL_FEATURES, trials=50)
     return spark.createDataFrame([(i + 1, s, str(p)) for i, (s, p) in enumerate(found)], "place int, wape double, params string")
+
+
+@query(f"""WITH {panel.WEEKLY}{panel.DEPTH} SELECT {WEEK}, sku_id, branch_id, units, {R('price')}, promo_flag, brand_type, branch_type, stockout_flag, CAST(display_units AS INTEGER) AS display_units, {R('promo_depth')} FROM depth""")
+def validated_panel(spark, sf):
+    """The required columns of a panel that has them all."""
+    return shown(prep.validate_columns(with_depth(spark, sf)), *prep.REQUIRED)
+
+
+@query(f"""WITH {panel.WEEKLY} SELECT {WEEK}, sku_id, branch_id, brand_type, branch_type, channel, store_type, display_capacity_type, service_scale, {R('price')}, promo_flag,
+  {R('sin(2 * pi() * weekofyear(week) / 52)', 'sin_woy')}, {R('cos(2 * pi() * weekofyear(week) / 52)', 'cos_woy')}, lag(units, 1) OVER {S} AS lag_1, lag(units, 2) OVER {S} AS lag_2, lag(units, 4) OVER {S} AS lag_4,
+  {R('avg(units) ' + over('4 PRECEDING AND 1 PRECEDING'), 'roll_4_mean')}, {R(ema('0.4::DOUBLE'), 'ema_4')} FROM panel""")
+def feature_projection(spark, sf):
+    """The registry's features that the weekly frame has, in its order."""
+    rows = models.project_features(w.weekly_features(panel.weekly(spark, sf)), ["week"])
+    return shown(rows, *rows.columns)
+
+
+def _z(c: str) -> str:
+    return f"CASE WHEN stddev_pop({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () ELSE 0 END"
+
+
+@query(f"WITH s AS ({_ORACLES['store_profiles']}) SELECT branch_id, {', '.join(R(_z(c), 'z_' + c) for c in stores.NUMERIC)} FROM s")
+def profile_z_scores(spark, sf):
+    """The numeric part of what stores are clustered by."""
+    rows = stores.profile_features(store_profiles(spark, sf)).withColumn("z", vector_to_array("features"))
+    rows = rows.select("branch_id", *(F.col("z")[i].alias(f"z_{c}") for i, c in enumerate(stores.NUMERIC)))
+    return shown(rows, *rows.columns)
+
+
+@query(_ORACLES["holiday_calendar"])
+def holiday_file(spark, sf):
+    """A calendar read from a file with a header; repeated days are one."""
+    path = files.scratch(spark, "holidays")
+    days = tables.default_holidays(spark).select(F.col("date").cast("string").alias("date"), F.lit("day off").alias("name"))
+    days.union(days).write.option("header", True).csv(path)
+    return shown(tables.holiday_calendar(spark, path), "date")
+
+
+@query(_ORACLES["rollout_rule_model"])
+def forecast_sink(spark, sf):
+    """A forecast, written and read again."""
+    path = files.scratch(spark, "forecast")
+    tables.write_forecast(rollout(panel.weekly(spark, sf), rule_model), path)
+    return shown(tables.weekly_panel(spark, path), "week", *KEYS, "horizon", "forecast_units")
+
+
+@query(_ORACLES["kalman_seasonal"])
+def factor_store(spark, sf):
+    """Factor states, saved as JSON and loaded again."""
+    path = f"{files.scratch(spark, 'factors')}/seasonal.json"
+    factors.save_states(factors.update(factors.empty_states(spark), factors.observe_seasonal(predicted(spark, sf), pred="prediction")), path)
+    return shown(factors.load_states(spark, path)[0], "key", "x", "p")
+
+
+@query("SELECT 'v' || lpad(i::VARCHAR, 2, '0') AS version, i = 9 AS latest, CASE WHEN i = 9 THEN 9.0::DOUBLE END AS base, CASE WHEN i = 9 THEN 9::BIGINT END AS n FROM range(2, 10) t(i)")
+def model_versions(spark, sf):
+    """Ten versions saved, the eight newest kept, the latest loaded again with its metadata."""
+    base = files.scratch(spark, "models")
+    for i in range(10):
+        model_store.save_model(boosting.Trees(boosting.Coding(["a"], [], [[0.5]], {}), float(i), 1), {"n": i}, base, f"v{i:02d}")
+    model_store.rotate(base)
+    last, held, loaded = model_store.latest(base).rsplit("/", 1)[-1], model_store.load_metadata(base), model_store.load_latest(base)
+    rows = [(v, v == last, loaded.base if v == last else None, held["n"] if v == last else None) for v in files.folders(base)]
+    return spark.createDataFrame(rows, "version string, latest boolean, base double, n bigint")
