@@ -204,6 +204,22 @@ def test_paraphrases_are_near_in_the_latent_space(spark):
         assert a @ b < 0.5 and decontamination.common(block[i].words, found) / len(block[i].words) < decontamination.ALIKE
 
 
+def test_the_latent_space_is_that_of_all_documents(spark, monkeypatch):
+    """Its vectors are orthonormal in the sum over the passages of every document, more than any bounded sample had."""
+    rng = np.random.default_rng(12)
+    word = ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(300)]
+    texts = [" ".join(rng.choice(word, int(rng.integers(1, 90)))) for _ in range(2600)] + [None, "", " . "]
+    items = [" ".join(rng.choice(word[:90], 60)) for _ in range(12)]
+    docs, bench = (spark.createDataFrame(list(enumerate(x)), f"{i} bigint, text string") for x, i in ((texts, "doc_id"), (items, "item_id")))
+    models, fit = [], decontamination.fit
+    monkeypatch.setattr(decontamination, "fit", lambda *x: models.append(fit(*x)) or models[-1])
+    decontamination.check(docs, bench).count()
+    (model,) = models
+    own = [x.words for x in model.items]
+    seen, known = (decontamination._dense(*decontamination._rows(*x, model.terms), model.space).astype(float) for x in (decontamination._words(texts), (np.concatenate(own), np.cumsum([0, *map(len, own)]))))
+    assert np.allclose(seen.T @ seen + len(seen) / len(known) * known.T @ known, np.eye(model.space.shape[1]), atol=1e-3)
+
+
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
 

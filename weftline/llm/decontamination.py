@@ -6,13 +6,17 @@ where a word that many copies of one passage repeat counts by the number of diff
 (a mergeable bitmap), so that a leaked passage doesn't become common by leaking; all other words are
 weighed by hash buckets.
 
-The latent space comes from a randomised SVD (range finder, one power step) of the TF-IDF passages of
-the benchmark and of a bounded sample of documents (``SAMPLE`` texts), both halves of equal weight.
+The latent space comes from a randomised SVD of the TF-IDF passages of the benchmark and of *all*
+documents, both halves of equal weight. The words of the documents are written once, by the pass that
+counts them; two passes over them follow. The first finds the range: passages with random signs are added up in
+lines (``FOLD`` to a line, every passage in one), whose products stand for the passages' own on average. The
+second is exact: it sums the products of all passages within that range, and the singular vectors are its.
 Its terms are the benchmark's words and ``OTHERS`` buckets of all other words, so words that stand with
-the same words come to lie together. Its rank, ``RANK`` and half the number of benchmark passages at most,
-makes it generalise; its directions count alike. Tasks multiply their rows by a thin matrix, and the
-sums of these products are all that the driver sees. Passages of documents with at least ``LIVE`` of their
-weight in words that the space has learned are compared with the benchmark's by cosine.
+the same words come to lie together. (In the fit alone, words go by 32 bits of their hashes.) Its rank, ``RANK``
+and half the number of benchmark passages at most, makes it generalise; its directions count alike. Tasks
+multiply their rows by a thin matrix, and the sums of these products are all that the driver sees.
+Passages of documents with at least ``LIVE`` of their weight in words that the space has learned are
+compared with the benchmark's by cosine.
 
 Candidates are confirmed on the words around them: a longest common subsequence of at least ``SAME`` of
 the item's words; or of ``ALIKE`` together with the item's answer (its last sentence); or, for the paraphrases
@@ -25,7 +29,7 @@ Others cannot pass the first or second rule, so nothing that these would confirm
 
 One pass over the documents counts the words of the whole benchmark (one for each ``TERMS`` distinct
 words). The benchmark is then worked on in blocks of at most ``PASSAGES`` passages, so what is broadcast
-has a bound; each block is one pass. The driver holds one block and 16 bytes a distinct benchmark word.
+has a bound; each block is one pass, and two over the written words. The driver holds one block and 16 bytes a distinct benchmark word.
 
 Defined results: a null or empty text is clean; an item without words is contained in nothing; items with
 null, repeated or string ids are all checked, and ids come back in their own type; an item of over
@@ -36,17 +40,18 @@ ids are checked each; empty tables give clean documents, or none.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from weftline.llm.runtime import bounded_sample, settle, small_batches
+from weftline.llm.runtime import settle, shuffle_partitions, small_batches
 from weftline.llm.words import PUNCTUATION, mix, word_hashes
 
 WINDOW = 32
@@ -54,7 +59,6 @@ STRIDE = 16
 PASSAGES = 4096
 RANK = 128
 EXTRA = 8
-SAMPLE = 2000
 LIVE = 0.3
 COSINE = 0.7
 SAME = 0.8
@@ -67,9 +71,15 @@ OTHERS = 1 << 13
 HEAVIEST = 8.0
 #: A word outside the benchmark weighs less than the most only if its bucket is in more than this share of the documents.
 COMMON = 0.02
-_ROWS = 512
+_ROWS = 64
 #: Passages whose latent vectors are made together.
 AT_ONCE = 512
+#: Halves of passages that the fit takes together.
+TOGETHER = 2048
+#: Lines and cells of a sketch at most, and the halves of passages that are folded into a line.
+LINES = 1024
+CELLS = 1 << 21
+FOLD = 64
 
 
 def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,8 +106,12 @@ class Terms:
         """The term of each word, or -1."""
         if not len(self.hashes):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        # Most words are in a bucket without any term.
+        near = np.flatnonzero((np.bincount(bucket(self.hashes), minlength=BUCKETS) > 0)[bucket(hashes)])
+        at = np.minimum(np.searchsorted(self.hashes, hashes[near]), len(self.hashes) - 1)
+        out = np.full(len(hashes), -1)
+        out[near] = np.where(self.hashes[at] == hashes[near], at, -1)
+        return out
 
     def weigh(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The term (or -1), the row of the latent space, and the weight of each word."""
@@ -194,12 +208,14 @@ def markers(items: list[Item], terms: Terms) -> Markers:
     return Markers(need, item[order], np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms.hashes)))]), answers[place], np.array(answered, np.int64)[place])
 
 
-def statistics(docs: DataFrame, hashes: np.ndarray, text_col: str) -> Terms:
-    """Weights over all documents: document frequencies of the terms and of the buckets of all other words."""
+def counted(docs: DataFrame, hashes: np.ndarray, text_col: str, low: int = 0) -> DataFrame:
+    """Counts (cell, n, after) of the terms from ``low`` and of the buckets of all other words; for the first terms also a row of ``words``, the upper halves of their hashes, for each text."""
+    own = hashes[low : low + TERMS]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(BUCKETS + len(hashes) + 1, np.int64)
-        after = np.zeros(BUCKETS + len(hashes) + 1, np.uint64)
+        seen = np.zeros(BUCKETS + len(own) + 1, np.int64)
+        after = np.zeros((BUCKETS + len(own) + 1) * 64, bool)
+        terms = Terms(own, np.zeros(0), np.zeros(0))
         for batch in batches:
             texts = batch.column(0).to_pylist()
             found, ends = _words(texts)
@@ -207,21 +223,30 @@ def statistics(docs: DataFrame, hashes: np.ndarray, text_col: str) -> Terms:
             if not len(found):
                 continue
             doc = np.repeat(np.arange(len(texts)), np.diff(ends))
-            term = Terms(hashes, np.zeros(0), np.zeros(0)).find(found)
+            term = terms.find(found)
             cell = np.where(term >= 0, BUCKETS + term, bucket(found))
-            once = np.unique(doc * np.int64(len(seen)) + cell)
+            once = np.sort(doc * np.int64(len(seen)) + cell)
+            once = once[np.concatenate([[True], once[1:] != once[:-1]])]
             seen += np.bincount(once % len(seen), minlength=len(seen))
-            before = np.concatenate([found[:1], found[:-1]])
-            mine = term >= 0
-            pair = np.unique((cell[mine] << 6) | (mix(before[mine]) & np.uint64(63)).astype(np.int64))
-            np.bitwise_or.at(after, pair >> 6, np.uint64(1) << (pair & 63).astype(np.uint64))
+            mine = np.flatnonzero(term >= 0)
+            after[(cell[mine] << 6) | (mix(found[np.maximum(mine - 1, 0)]) & np.uint64(63)).astype(np.int64)] = True
+            if not low:
+                full = np.flatnonzero(np.diff(ends))
+                words = pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer((4 * np.append(ends[full], ends[-1])).astype(np.int32)), pa.py_buffer((found >> np.uint64(32)).astype(np.uint32))])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(full), pa.int32()), pa.nulls(len(full), pa.int64()), pa.nulls(len(full), pa.int64()), words], names)
         full = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(seen[full]), pa.array(after[full].view(np.int64))], ["cell", "n", "after"])
+        bits = np.packbits(after.reshape(-1, 64)[full], axis=1).view(np.int64)[:, 0]
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(seen[full]), pa.array(bits), pa.nulls(len(full), pa.binary())], names)
 
-    small_batches(docs.sparkSession)
+    names = ["cell", "n", "after", "words"]
+    return docs.select(text_col).mapInArrow(count, "cell int, n bigint, after bigint, words binary")
+
+
+def weights(counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The weights of so many terms and of the buckets of all other words."""
     # One row for each cell, of which there is a fixed number.
-    cells = docs.select(text_col).mapInArrow(count, "cell int, n bigint, after bigint").groupBy("cell").agg(F.sum("n").alias("n"), F.expr("bit_or(after)").alias("after")).toArrow()
-    n, follows = np.zeros(BUCKETS + len(hashes) + 1), np.zeros(BUCKETS + len(hashes) + 1)
+    cells = counts.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("n").alias("n"), F.expr("bit_or(after)").alias("after")).toArrow()
+    n, follows = np.zeros(BUCKETS + size + 1), np.zeros(BUCKETS + size + 1)
     at = cells.column("cell").to_numpy()
     n[at] = cells.column("n").to_numpy()
     bits = np.unpackbits(cells.column("after").to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=1)
@@ -230,7 +255,20 @@ def statistics(docs: DataFrame, hashes: np.ndarray, text_col: str) -> Terms:
     most = min(HEAVIEST, np.log1p(total))
     terms = np.minimum(n[BUCKETS:-1], np.maximum(follows[BUCKETS:-1], 1))
     share = n[:BUCKETS] / max(total, 1)
-    return Terms(hashes, np.clip(np.log((total + 1) / (terms + 1)), 0, most), np.where(share > COMMON, np.minimum(most, -np.log(np.maximum(share, 1e-12))), most))
+    return np.clip(np.log((total + 1) / (terms + 1)), 0, most), np.where(share > COMMON, np.minimum(most, -np.log(np.maximum(share, 1e-12))), most)
+
+
+def read_all(docs: DataFrame, hashes: np.ndarray, text_col: str) -> tuple[Terms, DataFrame]:
+    """Weights over all documents, and the words of every text (upper halves of their hashes), written for the passes of the fit."""
+    small_batches(docs.sparkSession)
+    first = settle(counted(docs, hashes, text_col), "document-words")
+    parts = [weights(first if not low else counted(docs, hashes, text_col, low), len(hashes[low : low + TERMS])) for low in range(0, max(1, len(hashes)), TERMS)]
+    return Terms(hashes, np.concatenate([w for w, _ in parts]), parts[0][1]), first.where("words IS NOT NULL").select("words")
+
+
+def statistics(docs: DataFrame, hashes: np.ndarray, text_col: str) -> Terms:
+    """Weights over all documents: document frequencies of the terms and of the buckets of all other words."""
+    return read_all(docs, hashes, text_col)[0]
 
 
 def _rows(found: np.ndarray, ends: np.ndarray, terms: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -280,57 +318,170 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
 
-def latent_space(sample: DataFrame, bench: tuple[np.ndarray, np.ndarray, np.ndarray], terms: Terms, rank: int) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Halves:
+    """Words in rows of ``STRIDE`` (the last of a text filled up with weight 0): a passage is such a half and the next of its text."""
+
+    cell: np.ndarray
+    weight: np.ndarray
+    last: np.ndarray  # whether no other half of the text follows
+    scale: np.ndarray  # one over the norm of the passage that begins here; 0 if none does
+
+
+class Rows:
+    """The rows of the space and the weights of words that are known by the upper halves of their hashes."""
+
+    def __init__(self, terms: Terms):
+        self.hashes = (terms.hashes >> np.uint64(32)).astype(np.uint32)
+        self.weight = np.append(terms.weight, 0).astype(np.float32)
+        self.other = terms.other.astype(np.float32)
+        self.some = np.bincount(self.hashes >> np.uint32(16), minlength=BUCKETS) > 0
+
+    def halves(self, words: np.ndarray, ends: np.ndarray) -> Halves:
+        cell = (words >> np.uint32(16)).astype(np.int64)
+        weight = self.other[cell]
+        near = np.flatnonzero(self.some[cell])
+        cell = cell * OTHERS // BUCKETS + len(self.hashes)
+        if len(near):
+            mine = words[near]
+            at = np.minimum(np.searchsorted(self.hashes, mine), len(self.hashes) - 1)
+            own = self.hashes[at] == mine
+            cell[near[own]], weight[near[own]] = at[own], self.weight[at[own]]
+        size = np.diff(ends)
+        n = -(-size // STRIDE)
+        after = np.cumsum(n)
+        place = np.arange(len(words)) + np.repeat((after - n) * STRIDE - ends[:-1], size)
+        out = Halves(np.zeros(n.sum() * STRIDE, np.int32), np.zeros(n.sum() * STRIDE, np.float32), np.zeros(n.sum(), bool), np.zeros(0))
+        out.cell[place], out.weight[place] = cell, weight
+        out.cell, out.weight = out.cell.reshape(-1, STRIDE), out.weight.reshape(-1, STRIDE)
+        out.last[after[n > 0] - 1] = True
+        mass = np.einsum("ij,ij->i", out.weight, out.weight)
+        mass[:-1] += np.where(out.last[:-1], 0, mass[1:])
+        begins = ~out.last | np.repeat(n == 1, n)
+        out.scale = np.where(begins, 1 / np.sqrt(np.maximum(mass, 1e-12)), 0).astype(np.float32)
+        return out
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], rows: Rows, most: int) -> Iterator[Halves]:
+    """The halves of the texts, about ``most`` together (more, if a single batch of texts has them)."""
+    held: list[Halves] = []
+    size = 0
+
+    def joined() -> Halves:
+        return Halves(*(np.concatenate([getattr(h, k) for h in held]) for k in ("cell", "weight", "last", "scale")))
+
+    for batch in batches:
+        column = batch.column(0)
+        _, offsets, data = column.buffers()
+        ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) // 4
+        if len(column):
+            held.append(rows.halves(np.frombuffer(data, np.uint32, int(ends[-1]))[ends[0] :], ends - ends[0]))
+            size += len(held[-1].last)
+        if size >= most:
+            yield joined()
+            held, size = [], 0
+    if held:
+        yield joined()
+
+
+def _folded(h: Halves, lines: int, size: int, rng: np.random.Generator) -> np.ndarray:
+    """All passages of the halves, each with a random sign, added up in so many random lines: a sketch whose square is that of the passages on average."""
+    line = rng.integers(0, lines, len(h.last)) * size
+    value = h.scale * rng.choice(np.array([-1, 1], np.float32), len(h.last))
+    more = np.flatnonzero(~h.last)
+    at = np.concatenate([line[:, None] + h.cell, line[more, None] + h.cell[more + 1]])
+    by = np.concatenate([value[:, None] * h.weight, value[more, None] * h.weight[more + 1]])
+    return np.bincount(at.ravel(), by.ravel(), lines * size).astype(np.float32).reshape(lines, size)
+
+
+def _seen(h: Halves, basis: np.ndarray) -> Iterator[np.ndarray]:
+    """The passages of the halves times ``basis``, ``TOGETHER`` halves at a time."""
+    for a in range(0, len(h.last), TOGETHER):
+        b = min(a + TOGETHER, len(h.last))
+        c = min(b + 1, len(h.last))
+        each = np.matmul(h.weight[a:c, None, :], np.take(basis, h.cell[a:c], axis=0))[:, 0]
+        out, more = each[: b - a].copy(), np.flatnonzero(~h.last[a:b])
+        out[more] += each[more + 1]
+        yield out * h.scale[a:b, None]
+
+
+def latent_space(words: DataFrame, bench: tuple[np.ndarray, np.ndarray, np.ndarray], terms: Terms, rank: int) -> tuple[np.ndarray, np.ndarray]:
     """Right singular vectors over singular values (terms and buckets x rank), and each row's share of the vectors."""
-    spark = sample.sparkSession
+    spark = words.sparkSession
     size = len(terms.hashes) + OTHERS
     wide = min(size, rank + EXTRA)
-    rng = np.random.default_rng(6)
-    thin = np.linalg.qr(rng.standard_normal((size, wide)))[0].astype(np.float32)
-    shared = spark.sparkContext.broadcast(terms)
-
-    def product(basis: np.ndarray) -> np.ndarray:
-        held = spark.sparkContext.broadcast(basis)
-
-        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, n = np.zeros((size, wide), np.float32), 0
-            for batch in batches:
-                row, cell, value = _rows(*_words(batch.column(0).to_pylist()), shared.value)
-                if len(row):
-                    total += _gram(row, cell, value, held.value)
-                    n += int(row[-1]) + 1
-            if n:
-                cuts = range(0, size, _ROWS)
-                yield pa.RecordBatch.from_arrays([pa.array([-1, *cuts], pa.int32()), pa.array([np.array([n], np.float32).tobytes(), *(total[c : c + _ROWS].tobytes() for c in cuts)], pa.binary())], ["at", "cells"])
+    lines = max(wide, min(LINES, CELLS // size))
+    thin = np.linalg.qr(np.random.default_rng(6).standard_normal((size, wide)))[0].astype(np.float32)
+    held = spark.sparkContext.broadcast((Rows(terms), thin))
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, thin = held.value
+        rng = np.random.default_rng([6, TaskContext.get().partitionId()])
+        total, n = np.zeros((size, wide), np.float32), 0
+        for halves in _stretches(batches, rows, FOLD * lines):
+            for a in range(0, len(halves.last), FOLD * lines):
+                # A passage over the cut begins in its first half, so one half more is there without beginning another.
+                b = min(a + FOLD * lines, len(halves.last))
+                c = min(b + 1, len(halves.last))
+                scale = halves.scale[a:c].copy()
+                scale[b - a :] = 0
+                last = halves.last[a:c].copy()
+                last[b - a :] = True
+                folded = _folded(Halves(halves.cell[a:c], halves.weight[a:c], last, scale), lines, size, rng)
+                total += folded.T @ (folded @ thin)
+            n += int((halves.scale > 0).sum())
+        if n:
+            cuts = range(0, size, _ROWS)
+            yield pa.RecordBatch.from_arrays([pa.array([-1, *cuts], pa.int32()), pa.array([np.array([n], np.float64).tobytes(), *(total[c : c + _ROWS].tobytes() for c in cuts)], pa.binary())], ["at", "cells"])
+
+    def summed(task: Callable, kind: type) -> list[Row]:
+        """The sums of what the tasks give for each place: a fixed number of rows, of the size of the basis together."""
 
         def add(group: pa.Table) -> pa.Table:
-            cells = sum(np.frombuffer(x.as_py(), np.float32) for x in group.column("cells"))
-            return pa.table({"at": group.column("at").slice(0, 1), "cells": pa.array([cells.tobytes()], pa.binary())})
-
-        # A fixed number of rows, of the size of the basis together.
-        out, n = np.zeros((size, wide), np.float32), 0.0
-        for r in sample.mapInArrow(part, "at int, cells binary").groupBy("at").applyInArrow(add, "at int, cells binary").collect():
-            cells = np.frombuffer(r["cells"], np.float32)
-            if r["at"] < 0:
-                n = float(cells[0])
-            else:
-                out[r["at"] : r["at"] + _ROWS] += cells.reshape(-1, wide)
-        row, cell, value = bench
-        # The benchmark has few passages; its half weighs as much as the sample's.
-        return out + np.float32(max(1.0, n / (int(row[-1]) + 1))) * _gram(row, cell, value, basis)
-
-    basis = np.linalg.qr(product(thin))[0].astype(np.float32)
-    values, vectors = np.linalg.eigh((basis.T @ product(basis)).astype(np.float64))
+            at = group.column("at").slice(0, 1)
+            cells = sum(np.frombuffer(x.as_py(), np.float64 if at[0].as_py() < 0 else kind) for x in group.column("cells"))
+            return pa.table({"at": at, "cells": pa.array([cells.tobytes()], pa.binary())})
+
+        # As many parts as there are tasks, which go by the cluster and not by the input.
+        tasks = max(4 * spark.sparkContext.defaultParallelism, shuffle_partitions(spark))
+        return words.coalesce(tasks).mapInArrow(task, "at int, cells binary").groupBy("at").applyInArrow(add, "at int, cells binary").collect()
+
+    out, n = np.zeros((size, wide), np.float32), 0.0
+    for r in summed(part, np.float32):
+        if r["at"] < 0:
+            n = float(np.frombuffer(r["cells"], np.float64)[0])
+        else:
+            out[r["at"] : r["at"] + _ROWS] += np.frombuffer(r["cells"], np.float32).reshape(-1, wide)
+    # The benchmark has few passages; its half weighs as much as the documents'.
+    own = np.float32(max(1.0, n / (int(bench[0][-1]) + 1)))
+    basis = np.linalg.qr(out + own * _gram(*bench, thin))[0].astype(np.float32)
+    held.unpersist()
+    spread = spark.sparkContext.broadcast((Rows(terms), basis))
+
+    def square(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, basis = spread.value
+        total = np.zeros((wide, wide))
+        for halves in _stretches(batches, rows, TOGETHER):
+            for seen in _seen(halves, basis):
+                total += seen.T @ seen
+        yield pa.RecordBatch.from_arrays([pa.array(range(wide), pa.int32()), pa.array([x.tobytes() for x in total], pa.binary())], ["at", "cells"])
+
+    seen = _dense(*bench, basis).astype(np.float64)
+    whole = own * (seen.T @ seen)
+    for r in summed(square, np.float64):
+        whole[r["at"]] += np.frombuffer(r["cells"])
+    spread.unpersist()
+    values, vectors = np.linalg.eigh(whole)
     vectors = (basis @ vectors[:, ::-1][:, :rank]).astype(np.float32)
     scale = np.sqrt(np.maximum(values[::-1][:rank], 1e-9)).astype(np.float32)
     return np.ascontiguousarray(vectors / scale), (vectors**2).sum(axis=1)
 
 
-def fit(sample: DataFrame, items: list[Item], terms: Terms) -> Model:
-    """The model of a block of items; ``terms`` holds their words alone."""
+def fit(words: DataFrame, items: list[Item], terms: Terms) -> Model:
+    """The model of a block of items, given the words of all texts; ``terms`` holds the items' words alone."""
     bench = _rows(np.concatenate([i.words for i in items]), np.concatenate([[0], np.cumsum([len(i.words) for i in items])]), terms)
     item_of, first, _ = windows(np.concatenate([[0], np.cumsum([len(i.words) for i in items])]))
-    space, share = latent_space(sample, bench, terms, min(RANK, max(1, len(first) // 2)))
+    space, share = latent_space(words, bench, terms, min(RANK, max(1, len(first) // 2)))
     return Model(items, terms, space, share >= share.mean(), _unit(_dense(*bench, space)), item_of, markers(items, terms))
 
 
@@ -460,14 +611,12 @@ def check(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text of it"), F.array().cast(kind).alias("items"))
     found = vocabulary(benchmark, item_text_col)
     if len(found):
-        parts = [statistics(docs, found[at : at + TERMS], text_col) for at in range(0, len(found), TERMS)]
-        terms = Terms(found, np.concatenate([p.weight for p in parts]), parts[0].other)
-        sample = bounded_sample(docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text")), SAMPLE, 6, "latent-sample")
+        terms, words = read_all(docs, found, text_col)
         # Item by item from the executors: the driver holds one block at a time.
         pending = benchmark.select(item_col, item_text_col).orderBy(item_col, item_text_col).toLocalIterator()
         for i, block in enumerate(blocks_of(items_of(map(tuple, pending)))):
             rows = settle(rows, "decontaminated") if i else rows
-            shared = spark.sparkContext.broadcast(fit(sample, block, terms.only(np.unique(np.concatenate([x.words for x in block])))))
+            shared = spark.sparkContext.broadcast(fit(words, block, terms.only(np.unique(np.concatenate([x.words for x in block])))))
             out = rows.schema
 
             def run(batches: Iterator[pa.RecordBatch], shared=shared, out=out) -> Iterator[pa.RecordBatch]:
