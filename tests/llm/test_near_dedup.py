@@ -126,6 +126,32 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 1 << 16])
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)", "string", "double"])
+def test_components_at_once_and_in_rounds(spark, monkeypatch, few, kind):
+    """Few edges take one task and no round; both ways give the same rows."""
+    monkeypatch.setattr(components, "FEW", few)
+    rounds, star = [], components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda e: rounds.append(1) or star(e))
+    rng = random.Random(8)
+    pairs = [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(130)]
+    edges = spark.createDataFrame(pairs, "u bigint, v bigint").selectExpr(f"cast(u as {kind}) as u", f"cast(v as {kind}) as v")
+    root = {x: x for pair in pairs for x in pair}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    got = components.components(edges)
+    assert {int(float(r.node)): int(float(r.root)) for r in got.collect()} == {x: y for x, y in root.items() if x != y}
+    assert got.schema["node"].dataType == edges.schema["u"].dataType and bool(rounds) == (not few or kind == "double")
+
+
+def test_near_duplicates_by_rounds(spark, monkeypatch):
+    monkeypatch.setattr(components, "FEW", 0)
+    docs = corpus()
+    got = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 85)
+
+
 def test_odd_rows(spark, odd, none):
     rows = near_dedup.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
