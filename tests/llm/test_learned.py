@@ -63,6 +63,22 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert len(language_id.learn(docs, languages=7).languages) == 7
 
 
+def test_languages_are_counted_in_all_texts(spark):
+    """3,000 texts of a language; each word of its own counts once, however many other texts there are."""
+    word = lambda i, a, b: "".join((a, b)[int(x)] for x in f"{i:012b}")
+    rows = [(3000 * k + i, word(i, *pair), lang) for k, (lang, pair) in enumerate({"x": "ab", "y": "cd"}.items()) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = docs.where(~language_id.held_out("doc_id")).collect()
+    model = language_id.learn(docs)
+    for k, lang in enumerate("xy"):
+        mine = [r.text for r in learned if r.lang == lang]
+        assert len(mine) > 1500
+        block = next(language_id._words([" ".join(mine)]))
+        d = language_id.distinct(block)
+        counts = np.bincount(d.buckets, minlength=language_id.BUCKETS)
+        assert np.allclose(model.table[:, k], np.log((counts + 0.5) / (counts.sum() + 0.5 * len(counts))), atol=1e-4)
+
+
 def test_samples_are_bounded_and_never_empty(spark):
     assert runtime.below(3000, 10**13) > -(1 << 63) and runtime.below(1, 2) == 0
     rows = spark.createDataFrame([(None if i % 2 else 1, f"text {i % 500}", "a" if i % 3 else None) for i in range(6000)], "id bigint, text string, g string")

@@ -1,7 +1,7 @@
 """Language identification: script ranges, per-word scores, and Viterbi over the words.
 
-Byte n-grams of words, with their ends marked, are counted for each language in a bounded sample
-of labelled texts (``SAMPLE`` a language at most, by a hash of the row). All values of lang are learned, up to
+Byte n-grams of words, with their ends marked, are counted for each language in all labelled
+texts that are learned from; nothing is sampled. All values of lang are learned, up to
 the ``LANGUAGES`` commonest (a parameter, ``languages``); the table of n-grams has ``CELLS`` cells at most, with
 fewer buckets the more languages there are. A word's score for a language is the
 sum of its n-grams' log probabilities, against the mean of the languages that the word's script
@@ -31,10 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.runtime import bounded_sample, small_batches
+from weftline.llm.runtime import shuffle_partitions, small_batches
 from weftline.llm.words import PUNCTUATION, Words, blocks, mix
 
-SAMPLE = 1500
 LANGUAGES = 4096
 BUCKETS = 1 << 16
 CELLS = 1 << 25
@@ -212,11 +211,11 @@ def _words(texts: list[str]) -> Iterator[Words]:
     return blocks([t.lower() for t in texts], PUNCTUATION)
 
 
-def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> Model | None:
+def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: int = LANGUAGES) -> Model | None:
     """A model of the languages of the rows that aren't held out; None if there are none."""
     small_batches(docs.sparkSession)
     known = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages + 1).collect()
     if not counts:
         return None
@@ -226,7 +225,8 @@ def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     size = BUCKETS
     while size * len(names) > CELLS:
         size //= 2
-    chosen = bounded_sample(known, sample, 8, "language-sample", "lang").select("lang", "text")
+    # As many partial tables as there are tasks, which go by the cluster and not by the input.
+    chosen = known.select("lang", "text").coalesce(max(4 * docs.sparkSession.sparkContext.defaultParallelism, shuffle_partitions(docs.sparkSession)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
